@@ -6,21 +6,73 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritab.llm import minhash
+from veritab.llm import linededup, minhash, mixing, packing, sharding
 from veritab.llm.common import table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_digests(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_sharding": op6_sharding,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_mixing": op8_mixing,
+    "op9_line_dedup": op9_line_dedup,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op8_mixing": f"""
+WITH RECURSIVE light AS (
+  SELECT doc_id AS id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS own FROM documents),
+sums AS (SELECT source, sum(own)::BIGINT AS tokens, count(*) AS n FROM light GROUP BY source),
+live AS (SELECT tokens / (SELECT sum(tokens) FROM sums) AS p, (SELECT max(tokens) / min(tokens) FROM sums WHERE tokens > 0) AS ratio, count(*) OVER () AS k FROM sums WHERE tokens > 0),
+bisect(step, lo, hi) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT step + 1, CASE WHEN ok THEN lo ELSE (lo + hi) / 2 END, CASE WHEN ok THEN (lo + hi) / 2 ELSE hi END
+  FROM (SELECT step, lo, hi, (SELECT ln(sum(p ** ((lo + hi) / 2))) - (lo + hi) / 2 * sum(p ** ((lo + hi) / 2) * ln(p)) / sum(p ** ((lo + hi) / 2)) <= {mixing.ENTROPY} * ln(any_value(k)) AND any_value(ratio) ** (1 - (lo + hi) / 2) <= {mixing.MAX_EPOCHS} FROM live) AS ok FROM bisect WHERE step < 45)),
+x AS (SELECT round(hi, 9) AS x FROM bisect WHERE step = 45),
+top AS (SELECT max(tokens)::DOUBLE AS top, sum(tokens::DOUBLE ** x) AS z FROM sums, x WHERE tokens > 0),
+quota AS (
+  SELECT source, tokens, ceil(n / {mixing.BLOCK}.0)::BIGINT AS blocks, CASE WHEN tokens > 0 THEN round(tokens::DOUBLE ** x / z, 6) ELSE 0 END AS weight,
+    CASE WHEN tokens > 0 THEN floor((tokens / top) ** (x - 1) * tokens)::BIGINT ELSE 0 END AS quota FROM sums, x, top),
+whole AS (SELECT *, CASE WHEN tokens > 0 THEN quota // tokens ELSE 1 END AS whole, CASE WHEN tokens > 0 THEN quota % tokens ELSE 0 END AS part FROM quota),
+own AS (
+  SELECT l.id, l.source, l.own, w.blocks, w.weight, w.whole, w.part, (('0x' || substr(md5(concat_ws(':', '{mixing.SEED}', 'block', l.id)), 1, 12))::BIGINT % w.blocks)::INT AS block
+  FROM light l JOIN whole w ON l.source IS NOT DISTINCT FROM w.source),
+keyed AS (
+  SELECT *, md5(concat_ws(':', '{mixing.SEED}', 'order', source, whole, block)) AS bk, md5(concat_ws(':', '{mixing.SEED}', 'doc', whole, id)) AS dk FROM own),
+upto AS (SELECT *, sum(own) OVER (PARTITION BY source ORDER BY bk, block, dk, id) AS upto FROM keyed),
+times AS (SELECT *, whole + CASE WHEN part > 0 AND upto <= part THEN 1 ELSE 0 END AS times FROM upto)
+SELECT id AS doc_id, source, own AS tokens, unnest(range(0, times))::INT AS epoch, block, weight FROM times""",
+    "op9_line_dedup": rf"""
+WITH line AS (
+  SELECT doc_id, generate_subscripts(l, 1) AS i, unnest(l) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+keyed AS (SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key FROM line),
+held AS (SELECT key, max(doc_id) AS last FROM (SELECT DISTINCT doc_id, key FROM keyed WHERE length(key) >= 20) GROUP BY key HAVING count(*) >= 3),
+marked AS (SELECT k.doc_id, k.i, k.line, h.last IS NULL OR h.last = k.doc_id AS stays FROM keyed k LEFT JOIN held h ON h.key = k.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""",
     "op10_minhash_near_dedup": rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
@@ -31,10 +83,10 @@ size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
 common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
 link AS (SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
 edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
-reach(doc_id, at) AS (
+reach(doc_id, seen) AS (
   SELECT a, a FROM edge
-  UNION SELECT r.doc_id, e.b FROM reach r JOIN edge e ON e.a = r.at),
-root AS (SELECT doc_id, min(at) AS component_id FROM reach GROUP BY doc_id)
+  UNION SELECT r.doc_id, e.b FROM reach r JOIN edge e ON e.a = r.seen),
+root AS (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, coalesce(r.component_id, d.doc_id) AS component_id, coalesce(r.component_id, d.doc_id) = d.doc_id AS kept
 FROM documents d LEFT JOIN size z ON z.doc_id = d.doc_id LEFT JOIN root r ON r.doc_id = d.doc_id""",
 }
