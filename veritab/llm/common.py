@@ -83,6 +83,19 @@ def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(gone, docs["doc_id"].cast("long") == gone[name], "left_anti")
 
 
+def block_units(rows: DataFrame, keys: list[str], ident: str, block: int) -> DataFrame:
+    """`rows` with (unit long, side long): any two rows of a key group meet in exactly one unit.
+
+    A group of n rows is cut into ceil(n / block) blocks by a hash of `ident`;
+    a unit is one block, or two of different `side`, so none outgrows about
+    2 x block rows however large its group.
+    """
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys, F.ceil(F.col("_n") / F.lit(block)).cast("int").alias("_nb"))
+    own = rows.join(sizes, keys).withColumn("side", F.pmod(F.xxhash64(F.lit("side"), ident), F.col("_nb")))
+    spread = own.withColumn("_to", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
+    return spread.withColumn("unit", F.xxhash64(*keys, F.least("side", "_to"), F.greatest("side", "_to"))).drop("_to", "_nb")
+
+
 def _positions(x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     z = x.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     z = (z ^ (z >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import IdFilter, cut, doc_texts, prepare, raw_texts, without_ids
+from veritab.llm.common import IdFilter, block_units, cut, doc_texts, prepare, raw_texts, without_ids
 from veritab.llm.components import connected_components
 from veritab.llm.hashing import ascii_words, band_keys, fast_sketch, set_identity, shingle_set
 
@@ -131,14 +131,6 @@ def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
     return cut(joined.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(percent), "u long, v long"))
 
 
-def _blocks(rows: DataFrame, keys: list[str], ident: str, block: int) -> DataFrame:
-    """Rows of each key group under (group keys, _i, _j) so that any two meet in one unit of at most about 2 x block rows."""
-    sizes = rows.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("_nb"))
-    own = rows.join(sizes, keys).withColumn("_at", F.pmod(F.xxhash64(ident), F.col("_nb")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
-    return own.withColumn("_to", other).withColumn("_i", F.least("_at", "_to")).withColumn("_j", F.greatest("_at", "_to"))
-
-
 def _pairs_across(floor: float, percent: int):
     """Candidate pairs between components within units of rows sorted by unit: (unit, id, comp, n, own, sketch)."""
 
@@ -216,8 +208,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, bands: i
     mixed = where.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band")
     open_rows = where.join(mixed, "band")
     body = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch")
-    units = _blocks(open_rows, ["band"], "id", BLOCK).withColumn("unit", F.xxhash64("band", "_i", "_j")).select("unit", "id", "comp", "_at").join(body, "id")
-    across = units.select("unit", "id", "comp", "n", F.col("_at").cast("long").alias("at"), "sketch").repartition("unit").sortWithinPartitions("unit").mapInArrow(_pairs_across(floor, percent), "a long, b long").distinct()
+    units = block_units(open_rows, ["band"], "id", BLOCK).select("unit", "id", "comp", "side").join(body, "id")
+    across = units.select("unit", "id", "comp", "n", "side", "sketch").repartition("unit").sortWithinPartitions("unit").mapInArrow(_pairs_across(floor, percent), "a long, b long").distinct()
     second = _verified(docs, across, width, percent)
 
     whole = connected_components(first.unionByName(second).unionByName(same))
