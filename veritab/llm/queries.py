@@ -6,12 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritab.llm import linededup, minhash, mixing, packing, sharding
+from veritab.llm import embeddings, licences, linededup, minhash, mixing, packing, quality, sharding, spotsigs, toxicity
 from veritab.llm.common import table
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def op1_spotsigs_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_documents(table(spark, sf_dir, "documents"))
+
+
+def op3_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
@@ -33,6 +53,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_spotsigs_fingerprints": op1_spotsigs_fingerprints,
+    "op2_license_scan": op2_license_scan,
+    "op3_quality_attention": op3_quality_attention,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_mixing": op8_mixing,
@@ -41,6 +66,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_embedding_near_dedup": """
+WITH RECURSIVE vec AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+unit AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM vec),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_dot_product(a.e, b.e) >= 0.95),
+reach(vec_id, seen) AS (
+  SELECT a, a FROM link
+  UNION SELECT r.vec_id, l.b FROM reach r JOIN link l ON l.a = r.seen),
+root AS (SELECT vec_id, min(seen) AS component_id FROM reach GROUP BY vec_id),
+links AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT v.vec_id, coalesce(l.n, 0)::BIGINT AS n_links, coalesce(r.component_id, v.vec_id) AS component_id, coalesce(r.component_id, v.vec_id) = v.vec_id AS kept
+FROM embeddings v LEFT JOIN links l ON l.a = v.vec_id LEFT JOIN root r ON r.vec_id = v.vec_id""",
     "op8_mixing": f"""
 WITH RECURSIVE light AS (
   SELECT doc_id AS id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS own FROM documents),
