@@ -24,41 +24,50 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class WordTokens:
-    """ids(text) as little-endian unsigned 32-bit bytes; the strings of special tokens are ordinary text."""
+    """ids(text) as little-endian unsigned 32-bit bytes; the strings of special tokens are ordinary text.
 
-    def __init__(self, path: str, cached: int = 300_000):
+    At most about `cached` words are kept; beyond, those of the current texts stay.
+    """
+
+    def __init__(self, path: str, cached: int = 400_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.cached = cached
         self.known: dict[str, bytes] = {}
-        spec = self.library.to_str()
-        self.by_word = WORD_PATTERN.replace("\\", "\\\\") in spec and '"type":"Lowercase"' in spec.replace(" ", "") and '"dropout":null' in spec.replace(" ", "")
+        spec = self.library.to_str().replace(" ", "")
+        self.by_word = all(x in spec for x in (WORD_PATTERN.replace("\\", "\\\\"), '"type":"Lowercase"', '"dropout":null', '"end_of_word_suffix":"</w>"'))
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.last[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def _learn(self, words: list[str], at_once: int = 200) -> None:
+        """Ids of new words, encoded in lines of many: the last token of each word says where it ends."""
+        groups = [words[k : k + at_once] for k in range(0, len(words), at_once)]
+        for own, ids in zip(groups, self._encode([" ".join(g) for g in groups])):
+            ends = 4 * (np.flatnonzero(self.last[ids]) + 1)
+            if len(ends) != len(own):
+                self.known.update(zip(own, (x.tobytes() for x in self._encode(own))))
+                continue
+            raw, begins = ids.tobytes(), [0, *ends[:-1].tolist()]
+            self.known.update((w, raw[p:q]) for w, p, q in zip(own, begins, ends.tolist()))
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        split: list[tuple[int, list[str]]] = []
-        missing: dict[str, None] = {}
+        out: list[bytes] = [b""] * len(texts)
+        whole = [i for i, text in enumerate(texts) if not self.by_word or _OTHER.search(text)]
+        aside = set(whole)
+        split = [(i, _WORD.findall(text.lower())) for i, text in enumerate(texts) if i not in aside]
+        seen = set().union(*(words for _, words in split))
         if len(self.known) > self.cached:
-            self.known.clear()
-        whole = []
-        for i, text in enumerate(texts):
-            if not self.by_word or _OTHER.search(text):
-                whole.append(i)
-                continue
-            words = _WORD.findall(text.lower())
-            split.append((i, words))
-            missing.update(dict.fromkeys(w for w in words if w not in self.known))
-        if missing:
-            new = list(missing)
-            self.known.update(zip(new, self._encode(new)))
+            self.known = {w: self.known[w] for w in seen if w in self.known}
+        self._learn(sorted(seen.difference(self.known)))
         get = self.known.__getitem__
         for i, words in split:
             out[i] = b"".join(map(get, words))
         for i, found in zip(whole, self._encode([texts[i] for i in whole])):
-            out[i] = found
-        return out  # type: ignore[return-value]
+            out[i] = found.tobytes()
+        return out
