@@ -1,11 +1,13 @@
 """SpotSigs fingerprints: chains of content words that follow common-word anchors.
 
-A signature is an anchor (a common word) with the next CHAIN content words
-after it; a fingerprint is the set of a text's signatures, written as the
-base64 of sorted 32-bit hashes. A text without any such chain takes every word
-as an anchor of the words after it; if that gives none either, its words as a
-whole are the one signature, and without words the text itself. Only a null or
-empty text has an empty fingerprint.
+A signature is an anchor with the next CHAIN content words after it; a
+fingerprint is the set of a text's signatures, written as the base64 of sorted
+32-bit hashes. Anchors are common words; where RUN content words have passed
+without one, as in tables, lists and other languages, each further content word
+is an anchor too, a rule that looks at the neighbourhood alone and so survives
+edits elsewhere. A text too short for any chain has its words as a whole as its
+one signature, and without words the text itself. Only a null or empty text has
+an empty fingerprint.
 
 Likeness is the Jaccard index of two sets. Sets whose sizes alone keep it under
 a threshold are never intersected.
@@ -27,7 +29,7 @@ from veritab.llm.common import block_units, cut, doc_texts, prepare
 from veritab.llm.hashing import _PLACE, mix, word_hashes
 from veritab.llm.words import COMMON_WORDS
 
-CHAIN, BLOCK = 2, 512
+CHAIN, RUN, BLOCK = 2, 3, 512
 _WORD = re.compile(r"\w+")
 _ANCHORS = np.sort(word_hashes([w.encode() for w in sorted(COMMON_WORDS)]))
 _LEAST = -(1 << 63)
@@ -42,13 +44,14 @@ def signatures(text: str | None, chain: int = CHAIN) -> np.ndarray:
     if not len(h):
         return (word_hashes([text.encode()]) >> np.uint64(32)).astype(np.uint32)
     common = _ANCHORS[np.minimum(np.searchsorted(_ANCHORS, h), len(_ANCHORS) - 1)] == h
-    content, anchors = np.flatnonzero(~common), np.flatnonzero(common)
-    at = np.searchsorted(content, anchors)
+    content = np.flatnonzero(~common)
+    passed = np.concatenate([[0], np.cumsum(common)])  # common words before each place
+    alone = np.zeros(len(h), dtype=bool)
+    alone[RUN:] = passed[RUN + 1 :] == passed[: len(h) - RUN]
+    anchors = np.flatnonzero(common | alone)
+    at = np.searchsorted(content, anchors, side="right")
     ok = at + chain <= len(content)
     anchors, at = anchors[ok], at[ok]
-    if not len(anchors) and len(h) > chain:
-        content, anchors = np.arange(len(h)), np.arange(len(h) - chain)
-        at = anchors + 1
     if not len(anchors):
         acc = mix(np.atleast_1d((h * _PLACE[: len(h)]).sum(dtype=np.uint64)) if len(h) <= len(_PLACE) else word_hashes([" ".join(words).encode()]), 31)
     else:
