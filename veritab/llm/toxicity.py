@@ -1,6 +1,6 @@
 """Severity of toxicity by cumulative-link ordinal regression on sparse text features.
 
-Features are hashed words and word beginnings of four and five letters, so that
+Features are hashed words and word beginnings of three to eight letters, so that
 a stem is known in inflections that weren't seen. Labels mark documents only as
 toxic or not; grades 1 to 3 of toxic ones come from their evidence: how often
 features occur that are far more frequent in toxic documents, cut at terciles.
@@ -34,7 +34,7 @@ FIT_ROWS = 12_000
 SPACE, KEPT, LEAST_DOCS, GRADES = 1 << 18, 1500, 3, 3
 #: Likelihood-ratio statistic under which a feature isn't kept, and log-odds from which it counts as evidence.
 LEAST_G2, STRONG = 12.0, 3.0
-STEPS, RIDGE = 400, 2e-4
+STEPS, RIDGE = 400, 5e-5
 _WORD = re.compile(r"\w+")
 _CACHE: dict[str, tuple[int, ...]] = {}
 
@@ -44,7 +44,7 @@ def _word_features(word: str) -> tuple[int, ...]:
     if found is None:
         if len(_CACHE) > 200_000:
             _CACHE.clear()
-        own = ["w" + word] + ["p" + word[:n] for n in (4, 5) if len(word) >= n]
+        own = ["w" + word] + ["p" + word[:n] for n in range(3, 9) if len(word) >= n]
         found = _CACHE[word] = tuple(xxhash.xxh32_intdigest(x) % SPACE for x in own)
     return found
 
