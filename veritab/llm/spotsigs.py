@@ -47,7 +47,7 @@ def signatures(text: str | None, chain: int = CHAIN) -> np.ndarray:
     content = np.flatnonzero(~common)
     passed = np.concatenate([[0], np.cumsum(common)])  # common words before each place
     alone = np.zeros(len(h), dtype=bool)
-    alone[RUN:] = passed[RUN + 1 :] == passed[: len(h) - RUN]
+    alone[RUN:] = passed[RUN + 1 :] == passed[: max(0, len(h) - RUN)]  # the RUN words before and the word itself
     anchors = np.flatnonzero(common | alone)
     at = np.searchsorted(content, anchors, side="right")
     ok = at + chain <= len(content)
