@@ -14,6 +14,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Look-alikes folded to one sign; deletions are in _DROPPED.
 _FOLD_FROM = "µ‐‑‒–—−‘’“”′ "
@@ -22,7 +23,7 @@ _DROPPED = "­"
 DEFAULT_CHAIN = ("unicode", "confusables", "whitespace", "case")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Unicode compatibility composition; null stays null."""
     return text.map(lambda s: None if s is None else unicodedata.normalize("NFKC", s))
@@ -78,7 +79,7 @@ def strip_correction(title: Column) -> Column:
     return F.regexp_replace(title, _CORRECTION, "")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(new: pd.Series, known: pd.Series) -> pd.Series:
     """Similarity of two normalised titles in [0, 1]; the order of the arguments matters. Empty or null: 0."""
     matcher = difflib.SequenceMatcher
@@ -143,7 +144,7 @@ def is_write_tool(name: Column, tools: Sequence[str] = ("gate_upsert", "db_upser
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
 
 
-@F.pandas_udf("array<struct<start:int,end:int>>")
+@F.pandas_udf(T.ArrayType(T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType())))
 def sentence_bounds(text: pd.Series) -> pd.Series:
     """Half-open bounds of sentences, split at white space after a full stop, exclamation or question mark."""
 

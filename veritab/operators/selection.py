@@ -7,11 +7,13 @@ import hashlib
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from veritab.functions.once import once
 from veritab.operators.gate import Policy, denial_class, selection_reasons
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def blake_key(text: pd.Series) -> pd.Series:
     """BLAKE2b-128 of a text in hexadecimal."""
     return text.map(lambda s: None if s is None else hashlib.blake2b(s.encode(), digest_size=16).hexdigest())
@@ -49,7 +51,8 @@ def select_for_judging(scored: DataFrame, policy: Policy, fraction: float, salt:
     why = selection_reasons(F.col("composite"), F.col("route"), F.col("fields"), loose)
     if strict is not None:
         why = F.concat(why, strict)
-    judged = first.withColumn("selection", why).withColumn("denial_class", F.when(F.size("selection") > 0, denial_class(F.col("route"), F.col("fields"))))
+    told = once(why, lambda w: F.struct(w.alias("selection"), F.when(F.size(w) > 0, denial_class(F.col("route"), F.col("fields"))).alias("denial_class")))
+    judged = first.withColumn("_t", told).select(*first.columns, "_t.selection", "_t.denial_class")
     audit = audit_slice(judged.where(F.col("denial_class").isin("thin_evidence", "contradicted")).select("record_id"), fraction, salt).withColumn("_audit", F.lit(True))
     out = judged.join(audit, "record_id", "left")
     state = F.when(F.size("selection") == 0, "selected").when(F.col("_audit"), "audit").otherwise("rejected")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+MODULES = ("queries_scores",)
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
@@ -25,13 +27,22 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def _load() -> None:
+    """Import the modules that register queries."""
+    for name in MODULES:
+        import_module(f"veritab.plans.{name}")
+
+
 def queries() -> dict[str, Query]:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_ORACLES)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return next(iter(_QUERIES.values()))(spark, sf_dir)
+    """Which records are safe to publish, and why each other one was denied."""
+    return queries()["gate_decision"](spark, sf_dir)
