@@ -35,7 +35,7 @@ def candidate_last_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.last_writer(new, ["record_id"], "seq")
 
 
-@query("accepted_view", "SELECT o_orderkey AS record_id, o_orderstatus AS route, CAST(o_orderdate AS STRING) AS written_at FROM orders WHERE o_orderstatus = 'F' ORDER BY written_at DESC, record_id LIMIT 100")
+@query("accepted_view", "SELECT o_orderkey AS record_id, o_orderstatus AS route, CAST(CAST(o_orderdate AS DATE) AS STRING) AS written_at FROM orders WHERE o_orderstatus = 'F' ORDER BY written_at DESC, record_id LIMIT 100")
 def accepted_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest hundred accepted rows of a route."""
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record_id"), F.col("o_orderstatus").alias("route"), F.col("o_orderdate").cast("date").cast("string").alias("written_at"))
