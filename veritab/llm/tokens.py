@@ -64,7 +64,7 @@ class WordTokens:
         seen = set().union(*(words for _, words in split))
         if len(self.known) > self.cached:
             self.known = {w: self.known[w] for w in seen if w in self.known}
-        self._learn(sorted(seen.difference(self.known)))
+        self._learn(list(seen.difference(self.known)))
         get = self.known.__getitem__
         for i, words in split:
             out[i] = b"".join(map(get, words))
