@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("queries_scores", "queries_corpus")
+MODULES = ("queries_scores", "queries_corpus", "queries_sources")
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
