@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import IdFilter, cut, doc_texts, fresh, prepare, quoted, raw_texts
+from veritab.llm.common import IdFilter, cut, doc_texts, prepare, raw_texts
 
 #: Bits of each filter, in chunks of CHUNK_BITS; 32 MB a filter at most in a task and when broadcast.
 BITS, CHUNK_BITS = 1 << 28, 1 << 19
@@ -184,11 +184,14 @@ def _kept(raw: bytes, lost: set[bytes], min_chars: int) -> tuple[bytes, int, int
     return b"\n".join(stay), len(lines), len(lines) - len(stay)
 
 
-def _apply(docs: DataFrame, lost: DataFrame, finish, schema: str, columns: list) -> DataFrame:
-    """Run `finish(batch, list of dropped-key lists)` over all of `docs`; only documents that may lose lines are joined."""
+def _apply(docs: DataFrame, lost: DataFrame, finish, schema) -> DataFrame:
+    """Run `finish(batch, list of dropped-key lists)` over all columns of `docs`; only documents that may lose lines are joined.
+
+    Columns travel as c0, c1, ... so that no name can clash; `schema` is that of the result.
+    """
     words = docs.sparkSession.sparkContext.broadcast(IdFilter.build(lost.select("id")).words)
-    ident, keys = fresh(docs, "id"), fresh(docs, "keys")
-    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias(ident), *columns)
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    base = plain.select(F.coalesce(F.col(f"c{docs.columns.index('doc_id')}").cast("long"), F.lit(_NONE)).alias("_id"), "*")
 
     def pick(may: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +200,7 @@ def _apply(docs: DataFrame, lost: DataFrame, finish, schema: str, columns: list)
                 at = pa.array(np.flatnonzero(held.may_hold(batch.column(0).to_numpy(zero_copy_only=False)) == may))
                 if len(at):
                     part = batch.take(at)
-                    yield part if may else finish(part, [None] * part.num_rows)
+                    yield part if may else finish(pa.RecordBatch.from_arrays(part.columns[1:], part.schema.names[1:]), [None] * part.num_rows)
 
         return run
 
@@ -207,8 +210,8 @@ def _apply(docs: DataFrame, lost: DataFrame, finish, schema: str, columns: list)
             yield finish(pa.RecordBatch.from_arrays(batch.columns[:n], batch.schema.names[:n]), batch.column(n).to_pylist())
 
     clean = base.mapInArrow(pick(False), schema)
-    touched = base.mapInArrow(pick(True), base.schema).join(lost.select(F.col("id").alias(ident), F.col("keys").alias(keys)), ident, "left")
-    return clean.unionByName(touched.select(ident, *[quoted(c) for c in base.columns[1:]], keys).mapInArrow(joined, schema))
+    touched = base.mapInArrow(pick(True), base.schema).join(lost.withColumnRenamed("id", "_id"), "_id", "left")
+    return clean.unionByName(touched.select(*plain.columns, "keys").mapInArrow(joined, schema))
 
 
 def line_digests(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, bits: int = BITS) -> DataFrame:
@@ -219,31 +222,30 @@ def line_digests(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, bits:
     lost = repeated_lines(docs, min_docs, min_chars, bits)
 
     def finish(batch: pa.RecordBatch, keys: list) -> pa.RecordBatch:
-        rows = [_kept(raw or b"", set(k or ()), min_chars) for raw, k in zip(raw_texts(batch, 2), keys)]
+        rows = [_kept(raw or b"", set(k or ()), min_chars) for raw, k in zip(raw_texts(batch, 1), keys)]
         return pa.RecordBatch.from_arrays(
-            [batch.column(1), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([hashlib.sha256(r[0]).hexdigest() for r in rows], pa.string())],
+            [batch.column(0), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array([hashlib.sha256(r[0]).hexdigest() for r in rows], pa.string())],
             ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
         )
 
-    texts = doc_texts(docs)
-    return _apply(texts, lost, finish, "doc_id long, n_lines long, n_dropped long, kept_sha256 string", [F.col("doc_id"), F.col("text")])
+    return _apply(doc_texts(docs), lost, finish, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
 def drop_repeated_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, bits: int = BITS) -> DataFrame:
     """`docs` with its texts as line dedup leaves them and n_chars counted anew; every row and other column stays."""
     lost = repeated_lines(docs, min_docs, min_chars, bits)
-    at = docs.columns.index("text") + 1
-    count = docs.columns.index("n_chars") + 1 if "n_chars" in docs.columns else None
-    names = docs.columns
+    at = docs.columns.index("text")
+    count = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def finish(batch: pa.RecordBatch, keys: list) -> pa.RecordBatch:
-        columns = list(batch.columns[1:])
+        columns = list(batch.columns)
         texts = [raw if not k or raw is None else _kept(raw, set(k), min_chars)[0] for raw, k in zip(raw_texts(batch, at), keys)]
-        columns[at - 1] = pa.array(texts, pa.large_binary()).cast(pa.large_string()).cast(pa.string())
+        columns[at] = pa.array(texts, pa.large_binary()).cast(pa.large_string()).cast(pa.string())
         if count is not None:
-            old = columns[count - 1]
-            fresh_count = [o if not k else len(t.decode("utf-8", "surrogatepass")) for o, k, t in zip(old.to_pylist(), keys, texts)]
-            columns[count - 1] = pa.array(fresh_count, old.type)
-        return pa.RecordBatch.from_arrays(columns, names)
+            old = columns[count]
+            anew = [o if not k or t is None else len(t.decode("utf-8", "surrogatepass")) for o, k, t in zip(old.to_pylist(), keys, texts)]
+            columns[count] = pa.array(anew, old.type)
+        return pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return _apply(docs, lost, finish, docs.schema, [F.col(quoted(c)) for c in names])
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    return _apply(docs, lost, finish, plain.schema).toDF(*docs.columns)
