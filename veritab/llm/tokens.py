@@ -8,6 +8,7 @@ general punctuation) goes to the library whole.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -29,9 +30,10 @@ class WordTokens:
     At most about `cached` words are kept; beyond, those of the current texts stay.
     """
 
-    def __init__(self, path: str, cached: int = 400_000):
+    def __init__(self, path: str, cached: int = 300_000):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core; more threads only wait
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.cached = cached
@@ -61,13 +63,15 @@ class WordTokens:
         whole = [i for i, text in enumerate(texts) if not self.by_word or _OTHER.search(text)]
         aside = set(whole)
         split = [(i, _WORD.findall(text.lower())) for i, text in enumerate(texts) if i not in aside]
-        seen = set().union(*(words for _, words in split))
         if len(self.known) > self.cached:
-            self.known = {w: self.known[w] for w in seen if w in self.known}
-        self._learn(list(seen.difference(self.known)))
-        get = self.known.__getitem__
-        for i, words in split:
-            out[i] = b"".join(map(get, words))
-        for i, found in zip(whole, self._encode([texts[i] for i in whole])):
-            out[i] = found.tobytes()
+            self.known = {w: self.known[w] for w in set().union(*(words for _, words in split)) if w in self.known}
+        found = [list(map(self.known.get, words)) for _, words in split]
+        gaps = [[k for k, ids in enumerate(own) if ids is None] for own in found]
+        self._learn(list({words[k] for (_, words), own in zip(split, gaps) for k in own}))
+        for (i, words), own, missing in zip(split, found, gaps):
+            for k in missing:
+                own[k] = self.known[words[k]]
+            out[i] = b"".join(own)
+        for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
+            out[i] = ids.tobytes()
         return out
