@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veritab.shipping import ship
+
 MODULES = ("queries_scores", "queries_corpus", "queries_sources")
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -19,7 +22,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
         if name in _QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        _QUERIES[name] = fn
+
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        _QUERIES[name] = run
         if sql is not None:
             _ORACLES[name] = sql
         return fn
