@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veritab.shipping import ship
+
 #: Rows in an Arrow batch between the JVM and Python; whole texts travel, so it is kept low.
 ARROW_ROWS = 512
 #: Most ids that are broadcast at once (8 bytes each); beyond it the join shuffles.
@@ -24,12 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Set the Arrow batch size, and a checkpoint folder where the session has none.
+    """Set the Arrow batch size, a checkpoint folder where the session has none, and see that workers have the package.
 
     A cluster names its shared folder in spark.checkpoint.dir. Only a local
     session may fall back to a temporary folder of this machine.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    ship(spark)
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
