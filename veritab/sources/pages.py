@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 ZONE = 3
@@ -26,7 +26,9 @@ def geometry(rows: DataFrame) -> DataFrame:
     return line.join(page, ["source_id", "page"], "left").fillna({"width": 0.0})
 
 
-_PAGE = Window.partitionBy("source_id", "page").orderBy("line_no")
+def _page() -> WindowSpec:
+    """Lines of a page in reading order."""
+    return Window.partitionBy("source_id", "page").orderBy("line_no")
 
 
 def column_hops(boxes: DataFrame) -> DataFrame:
@@ -35,7 +37,7 @@ def column_hops(boxes: DataFrame) -> DataFrame:
     side = F.when(F.col("x1") <= mid, "L").when(F.col("x0") >= mid, "R").otherwise("X")
     b = boxes.where("width > 0").withColumn("side", side).withColumn("wide", wide).withColumn("h", F.col("y1") - F.col("y0"))
     for c in ("side", "wide", "y0", "h"):
-        b = b.withColumn(f"_{c}", F.lag(c).over(_PAGE))
+        b = b.withColumn(f"_{c}", F.lag(c).over(_page()))
     hop = F.col("wide") & F.col("_wide") & F.concat("side", "_side").isin("LR", "RL") & (F.abs(F.col("y0") - F.col("_y0")) < 0.6 * F.greatest("h", "_h"))
     return b.groupBy("source_id", "page").agg(F.count_if(hop).alias("hops"))
 
@@ -45,7 +47,7 @@ def column_returns(boxes: DataFrame) -> DataFrame:
     mid = F.col("width") / 2
     wide = boxes.where("width > 0 and x1 - x0 >= 0.3 * width")
     kind = F.when((F.col("x0") < mid) & (mid < F.col("x1")), "full").when(F.col("x0") >= mid, "right").otherwise("left")
-    b = wide.withColumn("kind", kind).withColumn("band", F.count_if(F.col("kind") == "full").over(_PAGE.rowsBetween(Window.unboundedPreceding, 0))).where("kind <> 'full'")
+    b = wide.withColumn("kind", kind).withColumn("band", F.count_if(F.col("kind") == "full").over(_page().rowsBetween(Window.unboundedPreceding, 0))).where("kind <> 'full'")
     before = F.lag("kind").over(Window.partitionBy("source_id", "page", "band").orderBy("line_no"))
     back = b.withColumn("r", (F.col("kind") == "left") & (before == "right"))
     pages = boxes.select("source_id", "page").distinct()
