@@ -134,3 +134,16 @@ def test_selection_and_verdicts(spark):
     told = {r["record_id"]: (r["judge_verdict"], len(r["judge_note"] or "")) for r in apply_verdicts(out, verdicts).collect()}
     assert told["r0"] == ("supported", 400) and told["r1"] == ("unparseable", 0)
     assert sum(v == ("not_run", 0) for v in told.values()) == 33
+
+
+@pytest.mark.parametrize("anchors", [20_000, 0])
+def test_quotes_against_all_texts(spark, monkeypatch, anchors):
+    """Also where anchors are joined, and for quotes without an inner word."""
+    monkeypatch.setattr(spans, "ANCHORS", anchors)
+    texts = [("a", "the old cat sat on the mat"), ("b", "an older cat sat"), ("c", None), ("d", "")]
+    quotes = [(1, "old cat sat"), (2, "cat"), (3, "ld cat sa"), (4, "cat sat"), (5, ""), (6, "no such thing here")]
+    want = {(i, q, t.find(p)) for i, t in texts for q, p in quotes if t and p and p in t}
+    found = spans.quotes_in_texts(spark.createDataFrame(texts, "source_id string, text string"), spark.createDataFrame(quotes, "quote_id int, quote string"))
+    assert {tuple(r) for r in found.collect()} == want
+    own = spans.quotes_in_texts(spark.createDataFrame(texts, "source_id string, text string"), spark.createDataFrame([("a", 1, "cat"), ("b", 2, "mat")], "source_id string, quote_id int, quote string"), "source_id")
+    assert [tuple(r) for r in own.collect()] == [("a", 1, 8)]

@@ -233,7 +233,7 @@ def prisma_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("span_locate", "SELECT d.doc_id AS source_id, b.item_id AS quote_id, (strpos(d.text, b.text) - 1)::INT AS start FROM documents d, benchmark b WHERE strpos(d.text, b.text) > 0")
 def span_locate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where documents quote the items of a stated set, by a shared run of words and then the text itself."""
+    """Where documents quote the items of a stated set: by the longest inner word, then the text itself."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("source_id"), "text")
     return spans.quotes_in_texts(docs, table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("quote_id"), F.col("text").alias("quote")))
 
@@ -338,7 +338,7 @@ def usage_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "fuse_running",
-    f"""SELECT event_id, unit, calls, tokens, CASE WHEN calls > 40 THEN 'calls' WHEN tokens > 5000 THEN 'tokens' END AS tripped, (calls > 40 OR tokens > 5000) AND (calls = 41 OR (tokens > 5000 AND tokens - w <= 5000)) AS first_trip
+    f"""SELECT event_id, unit, calls, tokens::BIGINT AS tokens, CASE WHEN calls > 40 THEN 'calls' WHEN tokens > 5000 THEN 'tokens' END AS tripped, (calls > 40 OR tokens > 5000) AND (calls = 41 OR (tokens > 5000 AND tokens - w <= 5000)) AS first_trip
 FROM (SELECT event_id, unit, input + cache_write + output AS w, count(*) OVER o AS calls, sum(input + cache_write + output) OVER o AS tokens FROM ({_USAGE}) WINDOW o AS (PARTITION BY unit ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))""",
 )
 def fuse_running(spark: SparkSession, sf_dir: str) -> DataFrame:

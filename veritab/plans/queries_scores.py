@@ -264,8 +264,8 @@ def calibration_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "calibration_frontier",
     f"""WITH b AS (SELECT score AS bar, {_COUNTS}, count(*) AS n FROM ({_JOINED}) GROUP BY score),
-r AS (SELECT bar, sum(n_right) OVER w::BIGINT AS n_right, sum(n_wrong) OVER w::BIGINT AS n_wrong, sum(n_set_aside) OVER w::BIGINT AS n_set_aside, sum(n) OVER w::BIGINT AS n_accepted, (SELECT count(*) FROM ({_JOINED})) AS n_all FROM b WINDOW w AS (ORDER BY bar DESC ROWS UNBOUNDED PRECEDING))
-SELECT bar, n_right, n_wrong, n_set_aside, n_accepted, n_ruled, round(CAST(n_accepted AS DOUBLE) / n_all, 9) AS kept, {_ROUNDED} FROM (SELECT *, {_WILSON} FROM ({_RATED} r))""".replace("OVER w::BIGINT", "OVER w"),
+r AS (SELECT bar, sum(n_right) OVER w AS n_right, sum(n_wrong) OVER w AS n_wrong, sum(n_set_aside) OVER w AS n_set_aside, sum(n) OVER w AS n_accepted, (SELECT count(*) FROM ({_JOINED})) AS n_all FROM b WINDOW w AS (ORDER BY bar DESC ROWS UNBOUNDED PRECEDING))
+SELECT bar, n_right::BIGINT AS n_right, n_wrong::BIGINT AS n_wrong, n_set_aside::BIGINT AS n_set_aside, n_accepted::BIGINT AS n_accepted, n_ruled::BIGINT AS n_ruled, round(CAST(n_accepted AS DOUBLE) / n_all, 9) AS kept, {_ROUNDED} FROM (SELECT *, {_WILSON} FROM ({_RATED} r))""",
 )
 def calibration_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Precision and share kept at each score used as a bar."""
