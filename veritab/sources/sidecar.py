@@ -268,3 +268,13 @@ def table_metrics(cells: DataFrame, notes: DataFrame) -> DataFrame:
     )
     covered = column_headers(cells).groupBy("source_id").agg((F.count_if(F.size("headers") > 0) / F.count("*")).alias("header_chain_coverage"))
     return per_cell.join(per_note, "source_id", "left").join(covered, "source_id", "left")
+
+
+def cell_at(cells: DataFrame, places: DataFrame) -> DataFrame:
+    """The cell at each place (source_id, table_ix, row, col): the one declared there, else one that spans it."""
+    at, own = places.alias("p"), cells.alias("c")
+    same = (F.col("p.source_id") == F.col("c.source_id")) & (F.col("p.table_ix") == F.col("c.table_ix"))
+    covers = F.col("p.row").between(F.col("c.row"), F.col("c.row") + F.col("c.rowspan") - 1) & F.col("p.col").between(F.col("c.col"), F.col("c.col") + F.col("c.colspan") - 1)
+    declared = (F.col("p.row") == F.col("c.row")) & (F.col("p.col") == F.col("c.col"))
+    hit = at.join(own, same & covers, "left").groupBy("p.source_id", "p.table_ix", "p.row", "p.col").agg(F.min(F.struct((~declared).alias("spanned"), F.col("c.row").alias("r"), F.col("c.col").alias("k"), F.col("c.text").alias("text"))).alias("h"))
+    return hit.select("source_id", "table_ix", "row", "col", F.col("h.text").alias("text"))
