@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritab.functions import text as tx
-from veritab.operators import accounting, corpus, graph, mapping, merge, review, selection, spans
+from veritab.operators import accounting, corpus, graph, mapping, merge, reports, review, selection, spans
 from veritab.plans import inputs as src
 from veritab.plans.inputs import table
 from veritab.plans.registry import query
+from veritab.sources import search
 
 _UPSERT = "SELECT o_orderkey AS seq, CAST(o_custkey AS STRING) || ':' || o_orderpriority AS record_id, o_orderstatus AS payload FROM orders"
 
@@ -418,3 +419,43 @@ def source_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status of a source from its notices, in order."""
     rels = F.filter(F.array(F.when(F.col("o_orderkey") % 2 == 0, "Erratum"), F.when(F.col("o_orderkey") % 3 == 0, "new_version"), F.when(F.col("o_orderkey") % 5 == 0, "comment"), F.when(F.col("o_orderkey") % 7 == 0, "retraction"), F.when(F.col("o_orderkey") % 14 == 0, "correction")), lambda r: r.isNotNull())
     return table(spark, sf_dir, "orders").select("o_orderkey", corpus.status_from_relations(rels).alias("status"))
+
+
+@query("source_counts", f"SELECT source_id, count(*) AS n_found, count(*) FILTER (decision = 'allowed') AS n_accepted FROM ({_CANDIDATES}) GROUP BY source_id")
+def source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records found and accepted for each source."""
+    return reports.source_counts(_candidates(spark, sf_dir))
+
+
+_COPIES = "SELECT l_orderkey AS doi, 'u' || CAST(l_partkey AS STRING) || '/' || CAST(l_suppkey AS STRING) AS url, CASE l_linenumber % 3 WHEN 0 THEN 'publishedVersion' WHEN 1 THEN 'acceptedVersion' ELSE 'submittedVersion' END AS version, CASE WHEN l_suppkey % 5 = 0 THEN 'unreachable' ELSE 'answered' END AS state FROM lineitem"
+
+
+@query(
+    "resolve_access",
+    f"""WITH c AS (SELECT doi, url, version, row_number() OVER (PARTITION BY doi ORDER BY CASE version WHEN 'publishedVersion' THEN 0 WHEN 'acceptedVersion' THEN 1 ELSE 2 END, url) AS k FROM ({_COPIES}) WHERE state = 'answered')
+SELECT o_orderkey AS doi, c.url, c.version, c.url IS NOT NULL AS open, coalesce(c.version = 'publishedVersion', false) AS auto_acceptable FROM orders LEFT JOIN c ON c.doi = o_orderkey AND c.k = 1""",
+)
+def resolve_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best open copy of each paper; no answer leaves it closed."""
+    copies = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS doi", "'u' || CAST(l_partkey AS STRING) || '/' || CAST(l_suppkey AS STRING) AS url", "CASE l_linenumber % 3 WHEN 0 THEN 'publishedVersion' WHEN 1 THEN 'acceptedVersion' ELSE 'submittedVersion' END AS version", "CASE WHEN l_suppkey % 5 = 0 THEN 'unreachable' ELSE 'answered' END AS state")
+    return search.resolve_access(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doi")), copies)
+
+
+@query(
+    "retraction_check",
+    """SELECT o_orderkey AS doi, o_orderkey % 4 <> 0 AS ok, CASE WHEN o_orderkey % 4 <> 0 THEN CASE WHEN o_orderkey % 11 = 0 THEN 'retracted' WHEN o_orderkey % 3 = 0 THEN 'corrected' ELSE 'active' END END AS status FROM orders""",
+)
+def retraction_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of each paper by its notices; unknown where nothing answered."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doi"))
+    rels = F.filter(F.array(F.when(F.col("doi") % 3 == 0, "correction"), F.when(F.col("doi") % 11 == 0, "withdrawal"), F.when(F.col("doi") % 2 == 0, "erratum_note")), lambda r: r.isNotNull())
+    notices = o.select("doi", rels.alias("relations"), F.when(F.col("doi") % 4 == 0, "unreachable").otherwise("answered").alias("state"))
+    return search.check_retractions(o, notices)
+
+
+@query("theme_report", "SELECT CASE WHEN lang IN ('en', 'de') THEN lang ELSE 'unassigned' END AS theme, count(*) AS n_claims, count(DISTINCT source) AS n_sources, least(count(*), 400) AS n_lines FROM documents GROUP BY 1")
+def theme_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections of a report by theme; a section lists four hundred claims at most."""
+    claims = table(spark, sf_dir, "documents").select(F.col("source").alias("source_id"), F.col("doc_id").cast("string").alias("record_id"), F.col("doc_id").cast("string").alias("claim"), F.col("lang").alias("theme"))
+    out = reports.theme_sections(claims, spark.createDataFrame([("en", "English"), ("de", "German")], "theme string, definition string"))
+    return out.select("theme", "n_claims", "n_sources", F.size(F.filter(F.split("markdown", "\n"), lambda x: x.startswith("- "))).cast("long").alias("n_lines"))

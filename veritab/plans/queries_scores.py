@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from veritab.functions.once import once
 from veritab.operators import agreement as ag
 from veritab.operators import calibration as cal
-from veritab.operators import gate, scoring, selection
+from veritab.operators import gate, reports, scoring, selection
 from veritab.operators.uncertainty import uncertainty_reasons
 from veritab.plans import inputs as src
 from veritab.plans.inputs import table
@@ -320,3 +320,10 @@ def uncertainty_reasons_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", codes.alias("codes"))
 
 
+
+
+@query("denial_totals", f"WITH {_FIELDS_SQL} SELECT code, count(DISTINCT record_id) AS n FROM reasons GROUP BY code ORDER BY n DESC, code LIMIT 8")
+def denial_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eight most frequent reasons, by records."""
+    why = gate.gate_reasons(F.col("composite"), F.col("route"), F.col("fields"), F.col("verdict"), _POLICY)
+    return reports.denial_totals(_records(spark, sf_dir).select("record_id", gate.reason_codes(why).alias("codes")))
