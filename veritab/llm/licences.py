@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from veritab.llm.common import cut, prepare
 from veritab.llm.words import COMMON_WORDS
 
-#: Short notices and headers as they are found in files; several wordings of one licence.
+#: Short notices and headers as they are found in files; several wordings of one licence. Only words and their counts matter.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0",
@@ -39,7 +39,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+        "program free software, redistributed, modified: terms of GNU General Public License, published by Free Software Foundation; version 3 of License, at option any later version",
         "SPDX-License-Identifier: GPL-3.0-or-later",
         "SPDX-License-Identifier: GPL-3.0-only",
     ),
