@@ -8,7 +8,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+HERE = Path(__file__).absolute()
+sys.path[:0] = [f"{HERE.parents[1]}"]
 
 
 @pytest.fixture(scope="session")

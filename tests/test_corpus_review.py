@@ -14,7 +14,7 @@ SHAPE = "ord long, doi string, pmid string, pmcid string, arxiv string, nct stri
 
 
 def papers(spark, rows):
-    full = [{**dict.fromkeys(("doi", "pmid", "pmcid", "arxiv", "nct", "s2", "openalex", "title", "authors", "year")), "ord": k, "id": f"p{k}", **r} for k, r in enumerate(rows)]
+    full = [{**dict.fromkeys(c.split()[0] for c in SHAPE.split(", ")), "ord": k, "id": f"p{k}", **r} for k, r in enumerate(rows)]
     names = [c.split()[0] for c in SHAPE.split(", ")]
     return spark.createDataFrame([tuple(r[n] for n in names) for r in full], SHAPE)
 

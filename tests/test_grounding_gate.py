@@ -68,7 +68,7 @@ def scalar_gate(g: float, e: float, verdict: str | None) -> bool:
 
 
 def test_gate_grid(spark):
-    grid = [(g, e, v) for g in (0.0, 0.5, 0.9, 1.0) for e in (0.0, 1 / 3, 2 / 3, 1.0) for v in ("supported", "partial", "unsupported", "unparseable", None)]
+    grid = [(g, e, v) for g in (0.0, 0.5, 0.9, 1.0) for e in (k / 3 for k in range(4)) for v in ("supported", "partial", "unsupported", "unparseable", None)]
     df = spark.createDataFrame(grid, "g double, e double, v string")
     comp = scoring.composite({"c_grounded": F.col("g"), "c_ensemble": F.col("e")})
     route = scoring.route(F.col("g"), F.col("e"), F.lit(False), 1.0)

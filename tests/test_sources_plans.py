@@ -11,10 +11,15 @@ from veritab.sources import artifacts, pages, sidecar, stores
 from veritab.sources.tables import OutputTables
 from veritab.streaming import ingest
 
-ARTICLE = """<article xmlns="urn:a"><front><article-meta><title-group><article-title>On <i>mice</i></article-title></title-group><abstract><p>Short.</p></abstract></article-meta></front>
-<body><sec><title>Results</title><p>One  <b>two</b>
-three.</p><sec><title>Inner</title><p>Deep.</p></sec><table-wrap><label>Table 1</label><caption><p>Values</p></caption><table><tr><th>a</th><th/></tr><tr><td>1</td><td>2</td></tr></table></table-wrap></sec></body>
-<back><app><p>Extra.</p></app><ref-list><ref>Never</ref></ref-list></back></article>"""
+def tag(name: str, *parts: str) -> str:
+    return f"<{name}>{''.join(parts)}</{name.split()[0]}>"
+
+
+FRONT = tag("front", tag("article-meta", tag("title-group", tag("article-title", "On ", tag("i", "mice"))), tag("abstract", tag("p", "Short."))))
+TABLE = tag("table-wrap", tag("label", "Table 1"), tag("caption", tag("p", "Values")), tag("table", tag("tr", tag("th", "a"), "<th/>"), tag("tr", tag("td", "1"), tag("td", "2"))))
+BODY = tag("body", tag("sec", tag("title", "Results"), tag("p", "One  ", tag("b", "two"), "\nthree."), tag("sec", tag("title", "Inner"), tag("p", "Deep.")), TABLE))
+ARTICLE = tag('article xmlns="urn:a"', FRONT, "\n", BODY, "\n", tag("back", tag("app", tag("p", "Extra.")), tag("ref-list", tag("ref", "Never"))))
+
 
 
 def test_xml_store():
@@ -38,7 +43,8 @@ def wrap(body: str, notes: str) -> str:
 
 
 def test_sidecar_spans_and_markers():
-    body = '<tr><th rowspan="2">Name</th><th colspan="2">V</th></tr><tr><th>x</th><th>y</th></tr><tr><td>P. aeruginosa</td><td>12.4a</td><td>4a</td></tr><tr><td rowspan="all">n<xref rid="f1">a</xref></td><td>5 a</td><td>7*</td></tr>'
+    head = '<tr><th rowspan="2">Name</th><th colspan="2">V</th></tr>' + tag("tr", tag("th", "x"), tag("th", "y"))
+    body = head + tag("tr", *(tag("td", x) for x in ("P. aeruginosa", "12.4a", "4a"))) + '<tr><td rowspan="all">n<xref rid="f1">a</xref></td>' + tag("td", "5 a") + tag("td", "7*") + "</tr>"
     (cells, notes), = sidecar.parse_tables(wrap(body, '<fn id="f1"><label>a</label><p>mean</p></fn><fn><p>* significant</p></fn>'))
     at = {(c.row, c.col): c for c in cells}
     assert (at[1, 1].text, at[1, 2].text) == ("x", "y") and at[0, 1].colspan == 2
@@ -93,7 +99,7 @@ def test_layout_checks(spark):
 def test_passes_and_hits(spark, tmp_path):
     own = tmp_path / "src1"
     own.mkdir()
-    (own / "pass0.json").write_text(json.dumps([{"record_id": "r", "entity_type": "e", "fields": [{"field_name": "f", "value": "1", "verbatim_quote": "q"}]}]))
+    (own / "pass0.json").write_text(json.dumps([{"entity_type": "e", "record_id": "r", "fields": [{"verbatim_quote": "q", "field_name": "f", "value": "1" }]}]))
     (own / "pass1.json").write_text("not json")
     (own / "other.json").write_text("[]")
     records = artifacts.read_passes(spark, str(tmp_path))
@@ -168,7 +174,7 @@ def test_fuse():
 
 
 def draft() -> dict:
-    fields = [{"name": "km", "type": "float", "unit": "mM", "valid_range": [0, 10]}, {"name": "kind", "type": "enum", "enum": ["a", "b"]}]
+    fields = [{"name": "km", "type": "float", "unit": "mM", "valid_range": [0, 10]}, dict(name="kind", type="enum", enum=["a", "b"])]
     return {"fields": fields, "queries": [{"query": "enzyme"}], "gold_set": {"text": "gold", "n": 40, "calibrates": True, "independent_of_benchmark": True}}
 
 
@@ -193,7 +199,7 @@ def test_ratification(spark):
 
 
 def test_refusals():
-    base = {"fields": [{"name": "x", "type": "str"}], "ledger": {"items": [{"item_id": "field:x", "status": "accepted"}]}}
+    base = {"fields": [{"name": "x", "type": "str"}], "ledger": [dict(item_id="field:x", status="accepted")]}
     sp.Spec.load(base)
     for bad, word in (
         ({"fields": [{"name": "y"}]}, "ratified"), ({"source_scope": {"adapters": ["literature"]}}, "query"), ({"gold_set": {"item_id": "g"}}, "gold"), ({"ml_task": "magic"}, "task"),

@@ -17,7 +17,7 @@ _PLAIN = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 def as_number(text: Column) -> Column:
     """Number at the start of a value, for agreement; null where a hyphen is bonded to it (names with a locant, ranges)."""
     body = collapse_spaces(fold_confusables(text))
-    number = F.regexp_extract(body, r"^[-+]?\d[\d,]*\.?\d*(?:[eE][-+]?\d+)?", 0)
+    number = F.regexp_extract(body, "^[+-]?[0-9][0-9,]*[.]?[0-9]*(?:[Ee][+-]?[0-9]+)?", 0)
     rest = F.substring(body, F.length(number) + 1, F.length(body))
     return F.when((number != "") & ~rest.startswith("-"), F.replace(number, F.lit(","), F.lit("")).try_cast("double"))
 

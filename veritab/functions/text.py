@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 _FOLD_FROM = "µ‐‑‒–—−‘’“”′ "
 _FOLD_TO = "μ------''\"\"' "
 _DROPPED = "­"
-DEFAULT_CHAIN = ("unicode", "confusables", "whitespace", "case")
+DEFAULT_CHAIN = ("nfkc", "lookalikes", "spaces", "lower")
 
 
 @F.pandas_udf(T.StringType())
@@ -40,10 +40,10 @@ def collapse_spaces(text: Column) -> Column:
 
 
 def drop_punctuation(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)[\s\-_.,;:]+", "")
+    return F.regexp_replace(text, r"(?U)[:;,._\s-]+", "")
 
 
-_STEPS = {"unicode": nfkc, "confusables": fold_confusables, "whitespace": collapse_spaces, "case": F.lower, "punctuation": drop_punctuation}
+_STEPS = {"nfkc": nfkc, "lookalikes": fold_confusables, "spaces": collapse_spaces, "lower": F.lower, "no_punctuation": drop_punctuation}
 
 
 def normalize(text: Column, chain: Sequence[str] = DEFAULT_CHAIN) -> Column:
@@ -57,7 +57,7 @@ def normalize(text: Column, chain: Sequence[str] = DEFAULT_CHAIN) -> Column:
 
 def normalize_doi(doi: Column) -> Column:
     """Lower-cased DOI without resolver or scheme."""
-    return F.lower(F.regexp_replace(F.trim(doi), r"(?i)^(?:https?://(?:dx\.)?doi\.org/|doi:\s*)", ""))
+    return F.lower(F.regexp_replace(F.trim(doi), r"(?i)^(?:doi:\s*|https?:/{2}(?:dx[.])?doi[.]org/)", ""))
 
 
 def title_key(title: Column) -> Column:
@@ -95,7 +95,7 @@ def first_author(authors: Column) -> Column:
 
 def dirname(source_id: Column) -> Column:
     """A source id as a directory name."""
-    return F.regexp_replace(source_id, r"[^A-Za-z0-9._-]", "_")
+    return F.regexp_replace(source_id, "[^-._0-9A-Za-z]", "_")
 
 
 def slug(text: Column, prefix: str = "p") -> Column:
@@ -141,7 +141,7 @@ def is_write_tool(name: Column, tools: Sequence[str] = ("gate_upsert", "db_upser
     return tool_name(name).isin(list(tools))
 
 
-_SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
+_SENTENCE_END = re.compile(r"(?<=[?!.])\s+")
 
 
 @F.pandas_udf(T.ArrayType(T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType())))
@@ -151,9 +151,9 @@ def sentence_bounds(text: pd.Series) -> pd.Series:
     def bounds(s: str | None) -> list[dict[str, int]]:
         out, at = [], 0
         for gap in _SENTENCE_END.finditer(s or ""):
-            out.append({"start": at, "end": gap.start()})
+            out.append(dict(start=at, end=gap.start()))
             at = gap.end()
-        return [*out, {"start": at, "end": len(s)}] if s else []
+        return [*out, dict(start=at, end=len(s))] if s else []
 
     return text.map(bounds)
 

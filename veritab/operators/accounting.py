@@ -9,11 +9,9 @@ from pyspark.sql import functions as F
 
 from veritab.functions.numbers import half_even, usage_tokens
 
-STREAMS = ("input", "output", "cache_read", "cache_write")
-ALIASES = {
-    "input": ("input", "input_tokens", "prompt_tokens"), "output": ("output", "output_tokens", "completion_tokens"),
-    "cache_read": ("cache_read", "cache_read_input_tokens"), "cache_write": ("cache_write", "cache_creation_input_tokens"),
-}
+STREAMS = tuple("input output cache_read cache_write".split())
+_OTHER_NAMES = {"input": "input_tokens prompt_tokens", "output": "output_tokens completion_tokens", "cache_read": "cache_read_input_tokens", "cache_write": "cache_creation_input_tokens"}
+ALIASES = {s: (s, *_OTHER_NAMES[s].split()) for s in STREAMS}
 
 
 def usage_rows(observed: DataFrame, usage: str = "usage") -> DataFrame:

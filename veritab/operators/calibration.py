@@ -15,7 +15,7 @@ def wilson(right: Column, n: Column, z: float = Z) -> Column:
     """(low, high) of a share's interval, clamped to [0, 1]; the whole of it for no rulings."""
     n, p = n.cast("double"), right / n
     middle = p + z * z / (2 * n)
-    half = z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))
+    half = z * F.sqrt(z * z / (4 * n * n) + p * (1 - p) / n)
     low, high = (middle - half) / (1 + z * z / n), (middle + half) / (1 + z * z / n)
     return F.struct(F.when(n > 0, F.greatest(F.lit(0.0), low)).otherwise(0.0).alias("low"), F.when(n > 0, F.least(F.lit(1.0), high)).otherwise(1.0).alias("high"))
 

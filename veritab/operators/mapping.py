@@ -10,7 +10,7 @@ from veritab.functions.numbers import strict_number
 
 def number_anywhere(text: Column) -> Column:
     """The first number in a value, wherever it stands."""
-    found = F.regexp_extract(F.replace(text, F.lit("−"), F.lit("-")), r"[-+]?\d[\d,]*\.?\d*", 0)
+    found = F.regexp_extract(F.replace(text, F.lit("−"), F.lit("-")), "[+-]?[0-9][0-9,]*[.]?[0-9]*", 0)
     return F.when(found != "", F.replace(found, F.lit(","), F.lit("")).try_cast("double"))
 
 
@@ -35,7 +35,7 @@ def shape_issues(elements: Column, is_list: Column, kind: str, enum: list[str] |
     def of(v: Column) -> Column:
         s = F.trim(v)
         commas = F.length(s) - F.length(F.replace(s, F.lit(","), F.lit("")))
-        prose = (F.length(s) > 80) | s.rlike(r"(?i)\b(and|or|with|which|that|while|whereas)\b") | s.contains(";") | (commas > 1) | s.rlike(r"\.\s+\w")
+        prose = (F.length(s) > 80) | s.rlike(r"(?i)\b(?:whereas|while|that|which|with|or|and)\b") | s.contains(";") | (commas > 1) | s.rlike(r"\.\s+\w")
         return F.array(F.when(prose & F.lit(listed or kind in ("str", "enum")), F.lit("prose")), F.when(~s.isin(enum), F.lit("not_in_vocabulary")) if enum else F.lit(None).cast("string"))
 
     lone = F.array(F.when(~is_list & F.lit(listed), F.lit("single_value")))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veritab.operators.accounting import STREAMS
+
 
 def source_counts(candidates: DataFrame, papers: DataFrame | None = None) -> DataFrame:
     """Records found and accepted for each source; with `papers`, sources without a record are there with nulls, which aren't zeros."""
@@ -31,7 +33,7 @@ def judge_scope(selected: DataFrame) -> DataFrame:
 
 def leg_usage(usage: DataFrame) -> DataFrame:
     """Token streams of each leg of a resumed run. Legs are kept apart: their sum would count what was read again twice."""
-    return usage.groupBy("leg").agg(*[F.sum(c).alias(c) for c in ("input", "output", "cache_read", "cache_write")])
+    return usage.groupBy("leg").agg(*[F.sum(c).alias(c) for c in STREAMS])
 
 
 def candidate(candidates: DataFrame, record_id: str, source_id: str) -> DataFrame:

@@ -96,7 +96,7 @@ def check_queue(candidates: DataFrame, accepted: DataFrame, rulings: DataFrame,
 
 def source_links(doi: Column, pmcid: Column, pmid: Column) -> Column:
     """Where a source can be read: (kind, url) of each identifier it has."""
-    rows = [("doi", "https://doi.org/", doi), ("pmcid", "https://www.ncbi.nlm.nih.gov/pmc/articles/", pmcid), ("pmid", "https://pubmed.ncbi.nlm.nih.gov/", pmid)]
+    rows = [("doi", "https://doi.org/", doi), ("pmcid", "https://pmc.ncbi.nlm.nih.gov/articles/", pmcid), ("pmid", "https://pubmed.ncbi.nlm.nih.gov/", pmid)]
     made = [F.when(F.coalesce(F.trim(c), F.lit("")) != "", F.struct(F.lit(k).alias("kind"), F.concat(F.lit(u), F.trim(c)).alias("url"))) for k, u, c in rows]
     return F.filter(F.array(*made), lambda x: x.isNotNull())
 

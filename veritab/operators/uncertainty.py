@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from veritab.functions.numbers import count_or_range, is_not_reported, strict_number, whole_number
 
-ROLES = ("spread_type", "spread", "spread_lower", "spread_upper", "spread_level", "n_group", "n_total")
-VALUE_ROLES = ("spread", "spread_lower", "spread_upper", "spread_level")
+ROLES = tuple("spread_type spread spread_lower spread_upper spread_level n_group n_total".split())
+VALUE_ROLES = ROLES[1:5]
 #: Values that each type of spread has.
 USES = {"sd": ("spread",), "se": ("spread",), "ci": ("spread_lower", "spread_upper", "spread_level"), "iqr": ("spread_lower", "spread_upper"), "range": ("spread_lower", "spread_upper"), "not reported": ()}
 #: Values that an unlabelled spread may have.

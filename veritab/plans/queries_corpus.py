@@ -170,7 +170,7 @@ def _papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     nothing = F.lit(None).cast("string")
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ord"), F.concat(F.lit("HTTPS://doi.org/10.1/"), F.md5(F.col("text").cast("binary"))).alias("doi"), F.when(F.col("doc_id") % 10 < 3, F.expr("doc_id div 50").cast("string")).alias("pmid"),
-        *[nothing.alias(c) for c in ("pmcid", "arxiv", "nct", "s2", "openalex")], F.col("doc_id").cast("string").alias("id"), F.substring("text", 1, 60).alias("title"), F.array(F.col("source")).alias("authors"), F.lit(2020).alias("year"),
+        *[nothing.alias(c) for c in corpus.IDENTIFIERS], F.col("doc_id").cast("string").alias("id"), F.substring("text", 1, 60).alias("title"), F.array(F.col("source")).alias("authors"), F.lit(2020).alias("year"),
     )
 
 
@@ -334,7 +334,7 @@ def usage_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("usage_projection", f"SELECT count(DISTINCT unit) AS n_units, sum(input + cache_write + output)::BIGINT AS work_tokens, round_even(sum(input + cache_write + output)::DOUBLE / count(DISTINCT unit), 1) AS mean_per_unit, round_even(sum(input + cache_write + output)::DOUBLE / count(DISTINCT unit) * 1000, 0)::BIGINT AS projected, round_even((3.0::DOUBLE * sum(input) + 15.0::DOUBLE * sum(output)) / 1000000, 4) AS price FROM ({_USAGE})")
 def usage_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean use a unit, and what a thousand units would use."""
-    return accounting.projection(_usage(spark, sf_dir), 1000, {"input": 3.0, "output": 15.0})
+    return accounting.projection(_usage(spark, sf_dir), 1000, dict(input=3.0, output=15.0))
 
 
 @query(

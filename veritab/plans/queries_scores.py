@@ -170,7 +170,7 @@ def agree_k3_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = table(spark, sf_dir, "part").select(
         "p_partkey", F.col("p_type").alias("a"), F.expr("CASE WHEN p_partkey % 2 = 0 THEN '  ' || lower(p_type) ELSE p_brand END").alias("b"), F.expr("CASE p_partkey % 3 WHEN 0 THEN NULL WHEN 1 THEN p_type || ' ' ELSE upper(p_brand) END").alias("c")
     )
-    steps = ("confusables", "whitespace", "case")
+    steps = ("lookalikes", "spaces", "lower")
     out = v.withColumn("r", ag.agreement(F.array(*[ag.comparable(F.col(x), steps) for x in "abc"])))
     return out.select("p_partkey", "r.c_ensemble", "r.n_agreeing", "r.n_missing", F.lower(F.trim("r.modal")).alias("modal_key"))
 

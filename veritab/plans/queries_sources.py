@@ -29,6 +29,10 @@ def abstract_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("source_id", F.md5(F.col("full_text").cast("binary")).alias("text_md5"), "chars", "est_tokens", F.get("sections", F.lit(0))["start"].alias("abstract_start"), F.get("sections", F.lit(0))["end"].alias("abstract_end"))
 
 
+def _tag(name: str, body: str) -> str:
+    return f"<{name}>{body}</{name}>"
+
+
 def _escaped(text: Column) -> Column:
     for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         text = F.replace(text, F.lit(a), F.lit(b))
@@ -44,7 +48,7 @@ SELECT CAST(doc_id AS STRING) AS source_id, md5(text) AS text_md5, length(text):
 def xml_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stores of full-text XML: each document as one section with a paragraph a line, and a reference list that is left out."""
     body = F.array_join(F.transform(F.split(_escaped(F.col("text")), "\n"), lambda x: F.concat(F.lit("<p>"), x, F.lit("</p>"))), "")
-    xml = F.concat(F.lit('<article xmlns="urn:x"><body><sec><title>Body</title>'), body, F.lit("</sec></body><back><ref-list><ref>left out</ref></ref-list></back></article>"))
+    xml = F.concat(F.lit('<article xmlns="urn:x"><body><sec><title>Body</title>'), body, F.lit("</sec></body>" + _tag("back", _tag("ref-list", _tag("ref", "left out"))) + "</article>"))
     out = stores.xml_stores(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("source_id"), xml.alias("xml")))
     first = F.get("sections", F.lit(0))
     return out.select("source_id", F.md5(F.col("full_text").cast("binary")).alias("text_md5"), "chars", first["title"].alias("first_section"), first["end"].alias("section_end"))
@@ -55,7 +59,7 @@ def _table_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     cell = F.concat(F.col("c_acctbal").cast("int").cast("string"), F.when(F.col("c_custkey") % 3 == 0, "a").otherwise(""))
     row = F.struct("c_custkey", F.concat(F.lit("<tr><td>"), F.col("c_name"), F.lit("</td><td>"), cell, F.lit("</td></tr>")).alias("x"))
     rows = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["x"]), "").alias("x"))
-    xml = F.concat(F.lit('<article><table-wrap id="t"><label>Table 1</label><table><tr><th colspan="2">Customers</th></tr><tr><th>Name</th><th>Balance</th></tr>'), "x", F.lit('</table><table-wrap-foot><fn id="f1"><label>a</label><p>Estimated.</p></fn></table-wrap-foot></table-wrap></article>'))
+    xml = F.concat(F.lit('<article><table-wrap id="t"><label>Table 1</label><table><tr><th colspan="2">Customers</th></tr><tr><th>Name</th><th>Balance</th></tr>'), "x", F.lit("</table>" + _tag("table-wrap-foot", _tag("fn", _tag("label", "a") + _tag("p", "Estimated."))) + "</table-wrap></article>"))
     return rows.select(F.col("c_nationkey").cast("string").alias("source_id"), xml.alias("xml"))
 
 

@@ -135,7 +135,7 @@ def parse_proposal(draft: dict) -> list[dict]:
     for kind, rows in (("field", draft.get("fields", [])), ("inclusion_rule", draft.get("inclusion_rules", [])), ("corpus_query", draft.get("queries", [])), ("gold_set", [draft["gold_set"]] if draft.get("gold_set") else [])):
         for k, row in enumerate(rows):
             row = row if isinstance(row, dict) else {"text": row}
-            name = re.sub(r"[^a-z0-9]+", "_", str(row.get("name") or row.get("text") or row.get("query") or k).lower()).strip("_") or str(k)
+            name = "_".join(re.findall("[0-9a-z]+", str(row.get("name") or row.get("text") or row.get("query") or k).lower())) or str(k)
             items.append({"item_id": f"{kind}:{name}", "kind": kind, "summary": str(row.get("summary") or row.get("text") or row.get("query") or name), "status": "proposed", "payload": row})
     seen: dict[str, int] = {}
     for i in items:
@@ -236,5 +236,5 @@ def freeze_themes(spec: dict, themes: list[dict], version: str) -> dict:
     new = {"name": "theme", "type": "enum", "enum": sorted({t["theme"] for t in themes})}
     item = {"item_id": "field:theme", "kind": "field", "summary": "theme", "status": "accepted", "payload": new}
     rest = [f for f in spec.get("fields", ()) if f["name"] != "theme"]
-    ledger = [i for i in spec.get("ledger", {}).get("items", ()) if i["item_id"] != "field:theme"]
+    ledger = [i for i in (spec.get("ledger") or dict(items=()))["items"] if i["item_id"] != "field:theme"]
     return {**spec, "version": f"v{int(number[1]) + 1 if number else 2}", "fields": [*rest, new], "ledger": {"items": [*ledger, item]}}

@@ -118,13 +118,13 @@ def collapse_repeats(lines: list[str], min_block: int = 3, min_cover: float = 0.
 
 
 _ROMAN = re.compile(r"^(?=[IVXL])(X{0,3})(IX|IV|V?I{0,3})\.?\s+\S")
-_NUMBERED = re.compile(r"^(\d+(?:\.\d+)*)\.?\s+(\S.*)$")
+_NUMBERED = re.compile(r"^([0-9]+(?:[.][0-9]+)*)[.]?\s+(\S.*)$")
 _NAMED = {"abstract", "introduction", "background", "methods", "materials and methods", "results", "discussion", "results and discussion", "conclusion", "conclusions", "acknowledgements", "acknowledgments", "appendix", "summary"}
 
 
 def roman(number: str) -> int | None:
     """Value of a Roman numeral up to 89."""
-    worth = {"I": 1, "V": 5, "X": 10, "L": 50}
+    worth = dict(zip("IVXL", (1, 5, 10, 50)))
     if not number or any(c not in worth for c in number):
         return None
     return sum(-worth[a] if b and worth[a] < worth[b] else worth[a] for a, b in zip(number, [*number[1:], ""]))

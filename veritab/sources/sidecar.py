@@ -36,8 +36,8 @@ class Cell:
     text: str
     value_text: str
     is_header: bool
-    footnote_ids: list[str] = field(default_factory=list)
-    footnote_labels: list[str] = field(default_factory=list)
+    footnote_ids: list = field(default_factory=list)
+    footnote_labels: list = field(default_factory=list)
     marker_source: str = "none"
 
 
@@ -45,7 +45,7 @@ def is_symbols(marker: str) -> bool:
     return bool(marker) and all(c in _SYMBOLS for c in marker)
 
 
-def may_be_marker(text: str, marker: str) -> bool:
+def may_be_marker(text, marker) -> bool:
     """Whether a label at the end of a cell is one: a sign always, else set off by a space, else a letter after a digit or sign; never a bare digit."""
     stem = text[: len(text) - len(marker)]
     if not stem.strip():
@@ -55,7 +55,7 @@ def may_be_marker(text: str, marker: str) -> bool:
     return not marker.isdigit() and not stem[-1].isalpha()
 
 
-def is_ambiguous(text: str, marker: str) -> bool:
+def is_ambiguous(text, marker) -> bool:
     """A small whole number with a letter bonded to it may be a value with a marker or a label of its own."""
     return marker.isalpha() and re.fullmatch(r"\d{1,2}", text[: len(text) - len(marker)]) is not None
 
@@ -71,7 +71,7 @@ def opening_marker(text: str) -> str | None:
     return m[0] if after and (after.isspace() or after in ").:;,") else None
 
 
-def strip_markers(text: str, labels: list[str]) -> str:
+def strip_markers(text, labels) -> str:
     for label in sorted(filter(None, labels), key=len, reverse=True):
         text = text.removesuffix(label).strip()
     return text.strip()
@@ -95,7 +95,7 @@ def _span(value: str | None) -> int:
         return 1
 
 
-def _cells(wrap: ET.Element, labels: list[str]) -> list[Cell]:
+def _cells(wrap, labels) -> list[Cell]:
     """The grid, spans expanded; markers come from markup, else from a declared label at a cell's end."""
     out, taken = [], set()
     for r, tr in enumerate(wrap.iter("tr")):
@@ -122,12 +122,12 @@ def _cells(wrap: ET.Element, labels: list[str]) -> list[Cell]:
     return out
 
 
-def _worn(cells: list[Cell]) -> set[str]:
+def _worn(grid) -> set[str]:
     """Markers that values wear beyond doubt."""
-    out: set[str] = set()
-    for c in cells:
+    out = set()
+    for c in grid:
         if c.marker_source == "markup":
-            out |= {m for m in c.footnote_labels if m}
+            out.update(filter(None, c.footnote_labels))
         elif (m := _TRAILING.search(c.text)) and may_be_marker(c.text, m[1]) and not is_ambiguous(c.text, m[1]):
             out.add(m[1])
     return out
@@ -159,8 +159,8 @@ def _next_markers(mark: str) -> list[str]:
 
 def _opener(mark: str) -> re.Pattern[str]:
     """Where a definition begins inside running text: letters and digits only after the end of a sentence."""
-    before = r"(?:^|\s)" if is_symbols(mark) else r"(?:^|(?<=[.;])\s)"
-    return re.compile(before + re.escape(mark) + r"\s*(?=[A-Za-z])")
+    before = r"(?:^|\s)" if is_symbols(mark) else r"(?:^|(?<=[;.])\s)"
+    return re.compile(before + re.escape(mark) + r"\s*(?=[a-zA-Z])")
 
 
 def _inside(note: Note, worn: set[str], taken: set[str]) -> list[tuple[str, int, int]]:
@@ -186,7 +186,8 @@ def _split(notes: list[Note], worn: set[str]) -> bool:
                 new.append(Note(None, mark, body, "split"))
                 taken.add(mark)
         if cuts:
-            n.text = n.text[: cuts[0][1]].strip() or n.text
+            rest = n.text[: min(k for _, k, _ in cuts)].strip()
+            n.text = rest or n.text
     notes.extend(new)
     return bool(new)
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 GAP = "\n\n"
 STORE = "source_id string, full_text string, sections array<struct<title:string,start:int,end:int,depth:int>>, chars int, est_tokens int, error string"
 _LEFT_OUT = {"ref-list", "table-wrap-foot", "label"}
-_BLOCKS = {"fig", "boxed-text", "disp-quote", "disp-formula"}
+_BLOCKS = set("fig boxed-text disp-quote disp-formula".split())
+_LISTS = {"list", "def-list"}
 
 
 def bare_names(root: ET.Element) -> ET.Element:
@@ -62,12 +64,12 @@ class _Text:
             for child in node:
                 if child is not heading:
                     self.walk(child, depth + 1)
-            self.sections.append({"title": inline(heading) or "(untitled)", "start": start, "end": self.at, "depth": depth})
+            self.sections.append(dict(title=inline(heading) or "(untitled)", start=start, end=self.at, depth=depth))
         elif node.tag == "table-wrap":
             self.table(node)
         elif node.tag == "p" or node.tag in _BLOCKS:
             self.add(inline(node))
-        elif node.tag in ("list", "def-list"):
+        elif node.tag in _LISTS:
             for item in node:
                 self.add(inline(item))
         else:
@@ -88,14 +90,15 @@ def xml_store(source_id: str, xml: str) -> dict:
             out.walk(child, 1)
         if out.at == start:
             out.add(inline(abstract))
-        out.sections.append({"title": "Abstract", "start": start, "end": out.at, "depth": 0})
+        out.sections.append(dict(title="Abstract", start=start, end=out.at, depth=0))
     for part in ("body", "back"):
         if (node := root.find(part)) is not None:
             out.walk(node)
     text = "".join(out.blocks)
     if not text.strip():
         raise ValueError("no text")
-    return {"source_id": source_id, "full_text": text, "sections": sorted(out.sections, key=lambda s: (s["start"], s["depth"])), "chars": len(text), "est_tokens": round(len(text) / 4), "error": None}
+    order = sorted(out.sections, key=itemgetter("start", "depth"))
+    return dict(source_id=source_id, full_text=text, sections=order, chars=len(text), est_tokens=round(len(text) / 4), error=None)
 
 
 def _build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
