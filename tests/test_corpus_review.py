@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from veritab.operators import corpus, graph, merge, review, spans
+from veritab.operators import accounting, corpus, graph, merge, order, review, spans
 from veritab.operators.selection import apply_verdicts, select_for_judging
 from veritab.operators.gate import FIELD, Policy
 
@@ -147,3 +147,24 @@ def test_quotes_against_all_texts(spark, monkeypatch, anchors):
     assert {tuple(r) for r in found.collect()} == want
     own = spans.quotes_in_texts(spark.createDataFrame(texts, "source_id string, text string"), spark.createDataFrame([("a", 1, "cat"), ("b", 2, "mat")], "source_id string, quote_id int, quote string"), "source_id")
     assert [tuple(r) for r in own.collect()] == [("a", 1, 8)]
+
+
+def test_running_sums_and_ranks_over_ranges(spark):
+    rng = random.Random(9)
+    rows = [(k, rng.choice(["a", "b", None]), rng.randrange(1000), rng.choice([None, 1, 5])) for k in range(500)]
+    df = spark.createDataFrame(rows, "id int, g string, x int, v int").repartition(7)
+    total, want = 0, {}
+    for k, (i, _, x, v) in enumerate(sorted(rows, key=lambda r: (-r[2], r[0]))):
+        total += v or 0
+        want[i] = (total, k + 1)
+    got = order.running(df, [F.col("x").desc(), F.col("id")], {"t": F.col("v"), "n": F.lit(1)})
+    assert {r["id"]: (r["t"], r["n"]) for r in got.collect()} == want
+    sizes = {g: sum(r[1] == g for r in rows) for g in ("a", "b", None)}
+    ranks = order.ranked_within(df, ["g"], [F.col("x"), F.col("id")]).collect()
+    for g in sizes:
+        own = sorted((r for r in ranks if r["g"] == g), key=lambda r: r["_n"])
+        assert [r["_n"] for r in own] == list(range(1, sizes[g] + 1)) and {r["_of"] for r in own} == {sizes[g]}
+        assert [(r["x"], r["id"]) for r in own] == sorted((r["x"], r["id"]) for r in own)
+    usage = df.selectExpr("id", "x AS input", "0 AS output", "0 AS cache_read", "0 AS cache_write")
+    tripped = accounting.fuse(usage, ["id"], 10_000, 50_000).where("first_trip").collect()
+    assert len(tripped) == 1 and tripped[0]["tokens"] > 50_000

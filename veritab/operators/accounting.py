@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.functions.numbers import half_even, usage_tokens
+from veritab.operators.order import running
 
 STREAMS = tuple("input output cache_read cache_write".split())
 _OTHER_NAMES = {"input": "input_tokens prompt_tokens", "output": "output_tokens completion_tokens", "cache_read": "cache_read_input_tokens", "cache_write": "cache_creation_input_tokens"}
@@ -43,8 +44,11 @@ def projection(usage: DataFrame, units: int, prices: dict[str, float] | None = N
 
 def fuse(usage: DataFrame, order: list[str], max_calls: int, max_tokens: int, scope: str | None = None) -> DataFrame:
     """Running calls and work tokens in order within each scope, and the ceiling that a row is the first to pass."""
-    w = (Window.partitionBy(scope) if scope else Window.partitionBy(F.lit(0))).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    run = usage.withColumn("calls", F.count("*").over(w)).withColumn("tokens", F.sum(work()).over(w))
+    if scope:
+        w = Window.partitionBy(scope).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        run = usage.withColumn("calls", F.count("*").over(w)).withColumn("tokens", F.sum(work()).over(w))
+    else:
+        run = running(usage, [F.col(c) for c in order], {"calls": F.lit(1), "tokens": work()})
     over = F.when(F.col("calls") > max_calls, "calls").when(F.col("tokens") > max_tokens, "tokens")
     first = (F.col("calls") == max_calls + 1) | ((F.col("tokens") > max_tokens) & (F.col("tokens") - work() <= max_tokens))
     return run.withColumn("tripped", over).withColumn("first_trip", over.isNotNull() & first)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veritab.operators.order import running
+
 VERDICTS = ("right", "wrong", "cant_tell")
 Z = 1.959963984540054
 
@@ -48,8 +50,8 @@ def frontier(rows: DataFrame, score: str = "score", verdict: str = "verdict") ->
     then has a row for each distinct score only.
     """
     by_score = rows.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("bar")).agg(*_counts(F.col(verdict)), F.count("*").alias("n"))
-    down = Window.orderBy(F.col("bar").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    run = by_score.select("bar", *[F.sum(c).over(down).alias(c) for c in ("n_right", "n_wrong", "n_set_aside")], F.sum("n").over(down).alias("n_accepted"))
+    names = {"n_right": "n_right", "n_wrong": "n_wrong", "n_set_aside": "n_set_aside", "n_accepted": "n"}
+    run = running(by_score, [F.col("bar").desc()], {k: F.col(c) for k, c in names.items()}).select("bar", *names)
     total = rows.agg(F.count("*").alias("n_all"))
     return _rated(run.crossJoin(F.broadcast(total)).withColumn("kept", F.col("n_accepted") / F.col("n_all")).drop("n_all"))
 

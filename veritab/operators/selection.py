@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from veritab.functions.once import once
 from veritab.operators.gate import Policy, denial_class, selection_reasons
+from veritab.operators.order import ranked_within
 
 
 @F.pandas_udf(T.StringType())
@@ -27,8 +28,7 @@ def audit_slice(ids: DataFrame, fraction: float, salt: str, by: list[str] | None
     by = by or []
     salted = F.concat(F.lit(f"{salt}|"), F.col(ident).cast("string"))
     keyed = ids.withColumn("_key", (key or blake_key)(salted))
-    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    ranked = keyed.withColumn("_n", F.row_number().over(w.orderBy("_key", ident))).withColumn("_of", F.count("*").over(w))
+    ranked = ranked_within(keyed, by, [F.col("_key"), F.col(ident)])
     return ranked.where(F.col("_n") <= F.ceil(F.lit(fraction) * F.col("_of"))).drop("_key", "_n", "_of")
 
 
