@@ -7,7 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from veritab.functions.numbers import count_or_range, is_not_reported, strict_number, whole_number
+from veritab.functions.numbers import count_or_range, is_not_reported, strict_number
+from veritab.functions.once import once
 
 ROLES = tuple("spread_type spread spread_lower spread_upper spread_level n_group n_total".split())
 VALUE_ROLES = ROLES[1:5]
@@ -50,41 +51,51 @@ def uncertainty_reasons(value_of: Mapping[str, Column], groups: Mapping[str, Map
     A group counts only where its measured field is there. Absent, "not
     reported" and 0 are three different answers.
     """
-    rules: list[Column] = []
-    for measured in sorted(groups):
-        roles, here = groups[measured], value_of[measured].isNotNull()
-        gaps = [r for r in ROLES if r not in roles]
-        if gaps:
-            rules.append(_reason(here, "uncertainty_group_partial", f"{measured}:{','.join(gaps)}"))
-            continue
-        v = {r: value_of.get(roles[r], F.lit(None).cast("string")) for r in ROLES}
-        kind = F.lower(F.trim(v["spread_type"]))
-        known = F.coalesce(kind.isin(list(USES)), F.lit(False))
-        rules.append(_reason(here & v["spread_type"].isNull(), "uncertainty_absent", roles["spread_type"]))
-        rules.append(_reason(here & v["spread_type"].isNotNull() & ~known, "uncertainty_type_unknown", roles["spread_type"]))
-        counts = {}
-        for r in ("n_group", "n_total"):
-            told = v[r].isNotNull() & ~is_not_reported(v[r])
-            zero = F.coalesce(whole_number(v[r]) == 0, F.lit(False))
-            counted = count_or_range(v[r])
-            fits = counted.isNotNull() & (counted["lo"] >= 1)
-            rules.append(_reason(here & v[r].isNull(), "uncertainty_absent", roles[r]))
-            rules.append(_reason(here & told & zero, "uncertainty_zero_count", roles[r]))
-            rules.append(_reason(here & told & ~zero & ~F.coalesce(fits, F.lit(False)), "uncertainty_count_unreadable", roles[r]))
-            counts[r] = F.when(told & fits & (counted["lo"] == counted["hi"]), counted["lo"])
-        rules.append(_reason(here & (counts["n_group"] > counts["n_total"]), "uncertainty_group_above_total", measured))
-        number = {}
-        for r in VALUE_ROLES:
-            wanted = kind.isin([t for t, uses in USES.items() if r in uses])
-            loose = (kind == "not reported") & F.lit(r in UNLABELLED)
-            told = v[r].isNotNull() & ~is_not_reported(v[r])
-            read = known & (wanted | loose)
-            rules.append(_reason(here & known & wanted & v[r].isNull(), "uncertainty_absent", roles[r]))
-            rules.append(_reason(here & known & ~wanted & ~loose & v[r].isNotNull(), "uncertainty_value_without_use", roles[r]))
-            rules.append(_reason(here & read & told & strict_number(v[r]).isNull(), "uncertainty_unreadable", roles[r]))
-            number[r] = F.when(read & told, strict_number(v[r]))
-        rules.append(_reason(here & (number["spread"] < 0), "uncertainty_negative", roles["spread"]))
-        rules.append(_reason(here & (number["spread_lower"] > number["spread_upper"]), "uncertainty_limits_crossed", measured))
-        rules.append(_reason(here & (kind == "not reported") & (v["spread_lower"].isNull() != v["spread_upper"].isNull()), "uncertainty_half_interval", measured))
-        rules.append(_reason(here & ~number["spread_level"].between(1e-12, 100 - 1e-12), "uncertainty_level", roles["spread_level"]))
-    return F.filter(F.array(*rules), lambda r: r.isNotNull()) if rules else F.expr("cast(array() as array<struct<code:string,about:string>>)")
+    found = [_group_reasons(measured, groups[measured], value_of) for measured in sorted(groups)]
+    return F.concat(*found) if found else F.expr("cast(array() as array<struct<code:string,about:string>>)")
+
+
+def _group_reasons(measured: str, roles: Mapping[str, str], value_of: Mapping[str, Column]) -> Column:
+    """Reasons of one group. Every value is parsed once; the rules then read the parsed struct."""
+    gaps = [r for r in ROLES if r not in roles]
+    if gaps:
+        return F.filter(F.array(_reason(value_of[measured].isNotNull(), "uncertainty_group_partial", f"{measured}:{','.join(gaps)}")), lambda r: r.isNotNull())
+    v = {r: value_of.get(roles[r], F.lit(None).cast("string")) for r in ROLES}
+    none = F.lit(None).cast("double")
+    parsed = [value_of[measured].isNotNull().alias("here"), F.lower(F.trim(v["spread_type"])).alias("kind")]
+    for r in ROLES:
+        parsed += [v[r].isNotNull().alias(f"{r}_there"), (v[r].isNotNull() & ~is_not_reported(v[r])).alias(f"{r}_told")]
+    parsed += [F.when(v[r].isNotNull(), count_or_range(v[r])).alias(f"{r}_count") for r in ("n_group", "n_total")]
+    parsed += [F.coalesce(strict_number(v[r]), none).alias(f"{r}_number") for r in VALUE_ROLES]
+    return once(F.struct(*parsed), lambda p: F.filter(F.array(*_rules(measured, roles, p)), lambda r: r.isNotNull()))
+
+
+def _rules(measured: str, roles: Mapping[str, str], p: Column) -> list[Column]:
+    here, kind = p["here"], p["kind"]
+    known = F.coalesce(kind.isin(list(USES)), F.lit(False))
+    there = {r: p[f"{r}_there"] for r in ROLES}
+    told = {r: p[f"{r}_told"] for r in ROLES}
+    rules = [_reason(here & ~there["spread_type"], "uncertainty_absent", roles["spread_type"]), _reason(here & there["spread_type"] & ~known, "uncertainty_type_unknown", roles["spread_type"])]
+    counts = {}
+    for r in ("n_group", "n_total"):
+        lo, hi = p[f"{r}_count"]["lo"], p[f"{r}_count"]["hi"]
+        zero, fits = F.coalesce((lo == 0) & (hi == 0), F.lit(False)), F.coalesce(lo >= 1, F.lit(False))
+        rules.append(_reason(here & ~there[r], "uncertainty_absent", roles[r]))
+        rules.append(_reason(here & told[r] & zero, "uncertainty_zero_count", roles[r]))
+        rules.append(_reason(here & told[r] & ~zero & ~fits, "uncertainty_count_unreadable", roles[r]))
+        counts[r] = F.when(told[r] & fits & (lo == hi), lo)
+    rules.append(_reason(here & (counts["n_group"] > counts["n_total"]), "uncertainty_group_above_total", measured))
+    number = {}
+    for r in VALUE_ROLES:
+        wanted = kind.isin([t for t, uses in USES.items() if r in uses])
+        loose = (kind == "not reported") & F.lit(r in UNLABELLED)
+        read = known & (wanted | loose) & told[r]
+        rules.append(_reason(here & known & wanted & ~there[r], "uncertainty_absent", roles[r]))
+        rules.append(_reason(here & known & ~wanted & ~loose & there[r], "uncertainty_value_without_use", roles[r]))
+        rules.append(_reason(here & read & p[f"{r}_number"].isNull(), "uncertainty_unreadable", roles[r]))
+        number[r] = F.when(read, p[f"{r}_number"])
+    rules.append(_reason(here & (number["spread"] < 0), "uncertainty_negative", roles["spread"]))
+    rules.append(_reason(here & (number["spread_lower"] > number["spread_upper"]), "uncertainty_limits_crossed", measured))
+    rules.append(_reason(here & (kind == "not reported") & (there["spread_lower"] != there["spread_upper"]), "uncertainty_half_interval", measured))
+    rules.append(_reason(here & ((number["spread_level"] <= 0) | (number["spread_level"] >= 100)), "uncertainty_level", roles["spread_level"]))
+    return rules
