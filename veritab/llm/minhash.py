@@ -14,8 +14,8 @@ Plan, for any size of input:
    the bucket). Confirmed links give components.
 4. Round two compares, in buckets that still hold several components, the pairs
    across components, in blocks of at most BLOCK rows a side, by their
-   sketches; only pairs whose sketches agree on FLOOR of the coordinates are
-   sent to verification. A pair inside one component can't change it, so the
+   sketches; only pairs whose sketches agree well enough (DEVIATIONS) are sent
+   to verification. A pair inside one component can't change it, so the
    result is that of all pairs.
 
 Full sets are rebuilt only for documents in candidate pairs, picked in the scan
@@ -24,6 +24,7 @@ by a Bloom filter of fixed size, so texts are never shuffled.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +36,10 @@ from veritab.llm.common import IdFilter, block_units, cut, doc_texts, prepare, r
 from veritab.llm.components import connected_components
 from veritab.llm.hashing import ascii_words, band_keys, fast_sketch, set_identity, shingle_set
 
-#: Sketch of BANDS x ROWS coordinates. A pair at Jaccard 0.85 shares no band with probability (1 - 0.85^6)^24 = 1e-5.
-BANDS, ROWS = 24, 6
-#: Share of equal coordinates under which a pair isn't verified: 0.85 less five standard deviations of a 144-coordinate sketch.
-FLOOR = 0.70
+#: Probability that a pair exactly at the threshold shares no band, and coordinates of a sketch at most.
+MISS, COORDINATES = 2e-5, 150
+#: Standard deviations of the share of equal coordinates below the threshold, under which a pair isn't verified.
+DEVIATIONS = 5
 BLOCK = 256
 #: Shingles sketched at once in a Python worker (8 bytes each, a few copies).
 CHUNK = 400_000
@@ -46,6 +47,22 @@ CHUNK = 400_000
 _SCHEMA = "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>, sketch binary"
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, rows): the longest bands that keep misses at the threshold under MISS within COORDINATES. 23 x 6 at 85, 28 x 5 at 80."""
+    j = min(max(percent, 1), 99) / 100
+    for rows in range(12, 0, -1):
+        bands = math.ceil(math.log(MISS) / math.log1p(-(j**rows)))
+        if bands * rows <= COORDINATES:
+            return bands, rows
+    return COORDINATES, 1
+
+
+def least_agreement(percent: int, coordinates: int) -> float:
+    """Share of equal coordinates from which a pair is verified."""
+    j = min(percent, 100) / 100
+    return j - DEVIATIONS * math.sqrt(j * (1 - j) / coordinates)
+
+
 def _sketch_rows(width: int, bands: int, rows: int):
     t = bands * rows
 
@@ -86,7 +103,7 @@ def _sketch_rows(width: int, bands: int, rows: int):
     return run
 
 
-def sketches(docs: DataFrame, width: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     """(doc_id, n_shingles, h1, h2, bands, sketch) of every row; empty sets have null bands and sketch."""
     return doc_texts(docs).mapInArrow(_sketch_rows(width, bands, rows), _SCHEMA)
 
@@ -173,7 +190,7 @@ def _pairs_across(floor: float, percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, bands: int = BANDS, rows: int = ROWS, floor: float | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of `docs` (doc_id, text).
 
     Documents are linked where 100 x intersection >= percent x union of their
@@ -184,7 +201,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, bands: i
     component_id is null and it is kept. An empty table gives no rows.
     """
     prepare(docs.sparkSession)
-    floor = FLOOR if floor is None else floor
+    bands, rows = banding(percent)
+    floor = least_agreement(percent, bands * rows)
     made = cut(sketches(docs, width, bands, rows))
     usable = made.where("doc_id is not null and n_shingles > 0")
     classes = usable.groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("rep"))
