@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import pytest
@@ -41,6 +42,40 @@ def test_cosine_against_dense_vectors():
     assert t.best(words)[0] == pytest.approx(best)
 
 
+_templates = cache(licences.Templates)
+
+
+def _named(text):
+    score, found = _templates().scan(text)
+    return found if score >= licences.COSINE else None
+
+
+@pytest.mark.parametrize("name", sorted(f.stem for f in licences.FULL_TEXTS.glob("*.txt")))
+def test_full_texts(name):
+    """As a whole with an owner, as one line, without its title, and cut off."""
+    text = (licences.FULL_TEXTS / f"{name}.txt").read_text()
+    rest = text.split("\n", 1)[1]
+    for t in (text, f"Copyright (c) 2019 Jo Roe\n\n{text}", f"Copyright (c) 2019 Jo Roe <jo@roe.net>\nAll rights reserved.\n\n{rest}", " ".join(text.split()), text[: len(text) * 2 // 3]):
+        assert _named(t) == name, t[:200]
+
+
+@pytest.mark.parametrize(
+    ("what", "kind", "version", "name"),
+    [("program", "General", "2", "GPL-2.0"), ("program", "General", "3", "GPL-3.0"), ("library", "Lesser General", "2.1", "LGPL-2.1"), ("library", "Lesser General", "3", "LGPL-3.0"), ("program", "Affero General", "3", "AGPL-3.0"), ("program", "General", "9", None)],
+)
+def test_version_words_decide_between_headers(what, kind, version, name):
+    header = f"""
+# This {what} is free software: you can redistribute it and/or modify
+# it under the terms of the GNU {kind} Public License as published by
+# the Free Software Foundation, either version {version} of the License, or
+# (at your option) any later version."""
+    assert _named(f"# Copyright (C) 2011 Jo Roe\n{header}\n\nimport os\n") == name
+
+
+def test_long_template_without_its_kind_of_text():
+    assert _named("the software is a copy of the work that any person may use and the source of it is provided as is\n" * 40) is None
+
+
 def test_inheritance(spark):
     mit, apache = "Released under the MIT License.", "Licensed under the Apache License, version 2.0."
     rows = [

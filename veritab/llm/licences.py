@@ -6,6 +6,13 @@ templates; a word outside the templates has the greatest weight, so unrelated
 prose around a notice lowers its cosine, and common words have none. The best
 passage decides a file's own licence.
 
+Short notices are one set of templates; standard headers and full licence texts
+(with their openings, for files that are cut off) are another, to which blocks
+and the whole text are compared. A match there goes before a notice, which may
+be one that the licence itself quotes. Versions of one licence differ in little
+else than the number, so a wording that names its version matches only passages
+that name it too.
+
 A file without one takes that of the licence file in the nearest directory
 above it. Directories, not files, are joined with their ancestors.
 """
@@ -14,7 +21,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +52,9 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "SPDX-License-Identifier: GPL-3.0-only",
     ),
     "GPL-2.0": ("Licensed under the GNU General Public License, version 2", "SPDX-License-Identifier: GPL-2.0-only", "SPDX-License-Identifier: GPL-2.0-or-later"),
-    "LGPL-3.0": ("Licensed under the GNU Lesser General Public License, version 3", "SPDX-License-Identifier: LGPL-3.0-or-later"),
-    "AGPL-3.0": ("Licensed under the GNU Affero General Public License, version 3", "SPDX-License-Identifier: AGPL-3.0-or-later"),
+    "LGPL-2.1": ("Licensed under the GNU Lesser General Public License, version 2.1", "SPDX-License-Identifier: LGPL-2.1-only", "SPDX-License-Identifier: LGPL-2.1-or-later"),
+    "LGPL-3.0": ("Licensed under the GNU Lesser General Public License, version 3", "SPDX-License-Identifier: LGPL-3.0-only", "SPDX-License-Identifier: LGPL-3.0-or-later"),
+    "AGPL-3.0": ("Licensed under the GNU Affero General Public License, version 3", "SPDX-License-Identifier: AGPL-3.0-only", "SPDX-License-Identifier: AGPL-3.0-or-later"),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/", "SPDX-License-Identifier: MPL-2.0"),
     "BSD-3-Clause": ("Licensed under the BSD 3-Clause License", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file", "SPDX-License-Identifier: BSD-3-Clause"),
     "BSD-2-Clause": ("Licensed under the BSD 2-Clause License", "SPDX-License-Identifier: BSD-2-Clause"),
@@ -56,6 +65,43 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "ISC": ("Licensed under the ISC License", "SPDX-License-Identifier: ISC"),
     "Unlicense": ("This is free and unencumbered software released into the public domain", "SPDX-License-Identifier: Unlicense"),
 }
+_GNU = (
+    "This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {kind} as published by the Free Software Foundation; either version {v} of the License, or (at your option) any later version. ",
+    "This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} for more details. ",
+    "You should have received a copy of the GNU {kind} along with this {what}; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.",
+    "You should have received a copy of the GNU {kind} along with this {what}. If not, see <https://www.gnu.org/licenses/>.",
+)
+
+
+def _gnu(what: str, kind: str, v: str) -> tuple[str, ...]:
+    return tuple(t.format(what=what, kind=kind, v=v) for t in (_GNU[0], _GNU[0] + _GNU[1], _GNU[0] + _GNU[1] + _GNU[2], _GNU[0] + _GNU[1] + _GNU[3]))
+
+
+#: Standard headers of source files.
+HEADERS: dict[str, tuple[str, ...]] = {
+    "Apache-2.0": (
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 "
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
+        "See the License for the specific language governing permissions and limitations under the License.",
+    ),
+    "GPL-1.0": _gnu("program", "General Public License", "1"),
+    "GPL-2.0": _gnu("program", "General Public License", "2"),
+    "GPL-3.0": _gnu("program", "General Public License", "3"),
+    "LGPL-2.0": _gnu("library", "Library General Public License", "2"),
+    "LGPL-2.1": _gnu("library", "Lesser General Public License", "2.1"),
+    "LGPL-3.0": _gnu("library", "Lesser General Public License", "3"),
+    "AGPL-3.0": _gnu("program", "Affero General Public License", "3"),
+    "MPL-1.1": (
+        "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/ "
+        "Software distributed under the License is distributed on an \"AS IS\" basis, WITHOUT WARRANTY OF ANY KIND, either express or implied. See the License for the specific language governing rights and limitations under the License.",
+    ),
+}
+#: Full texts, a file each, named by licence; read on the driver.
+FULL_TEXTS = Path(__file__).resolve().parent / "licence_texts"
+#: Version numbers that tell licences of one family apart.
+VERSIONS = {"GPL-1.0": "1", "GPL-2.0": "2", "GPL-3.0": "3", "LGPL-2.0": "2", "LGPL-2.1": "2.1", "LGPL-3.0": "3", "AGPL-3.0": "3", "MPL-1.1": "1.1", "MPL-2.0": "2"}
+#: Words of the least opening of a full text that is a template; each further one has twice as many.
+OPENING = 50
 #: Least cosine of a match.
 COSINE = 0.75
 LICENCE_FILE = r"(?i)^(un)?licen[cs]e([.-].*)?$|^copying([.-].*)?$|^notice([.-].*)?$"
@@ -63,46 +109,80 @@ _TOKEN = re.compile(r"[^\W_]+(?:\.\d+)*")
 _STOP = COMMON_WORDS | {"may", "can", "any", "you", "your", "copy"}
 
 
+def long_templates() -> dict[str, tuple[str, ...]]:
+    """Headers, full texts with and without a first line that is a title, and openings of full texts."""
+    out: dict[str, list[str]] = {name: list(own) for name, own in HEADERS.items()}
+    for file in sorted(FULL_TEXTS.glob("*.txt")):
+        text = file.read_text(encoding="utf-8")
+        words = _TOKEN.findall(text.lower())
+        sizes = [OPENING << k for k in range(20) if OPENING << k < len(words)]
+        out.setdefault(file.stem, []).extend([text, text.strip().partition("\n")[2], *(" ".join(words[:n]) for n in sizes)])
+    return {name: tuple(own) for name, own in out.items()}
+
+
+def _version_words(name: str) -> frozenset[str]:
+    if name not in VERSIONS:
+        return frozenset()
+    numbers = {VERSIONS[name], VERSIONS[name] if "." in VERSIONS[name] else VERSIONS[name] + ".0"}
+    return frozenset(p + n for n in numbers for p in ("", "v", name.partition("-")[0].lower() + "v"))
+
+
 class Templates:
-    """Unit TF-IDF vectors of all wordings, as posting lists by word."""
+    """Unit TF-IDF vectors of all wordings, a row a word; without `templates`, the short notices, and the long templates aside."""
 
     def __init__(self, templates: dict[str, tuple[str, ...]] | None = None):
+        self.long = Templates(long_templates()) if templates is None else None
         wordings = [(name, Counter(w for w in _TOKEN.findall(t.lower()) if w not in _STOP)) for name, own in sorted((templates or TEMPLATES).items()) for t in own]
         self.names = [name for name, _ in wordings]
         n = len(wordings)
         df = Counter(w for _, bag in wordings for w in bag)
         self.idf = {w: np.log((1 + n) / (1 + k)) + 1 for w, k in df.items()}
         self.unseen = np.log(1 + n) + 1
-        self.postings: dict[str, list[tuple[int, float]]] = {}
+        self.row = {w: k for k, w in enumerate(df)}
+        self.unit = np.zeros((len(self.row), n))
         for k, (_, bag) in enumerate(wordings):
             norm = np.sqrt(sum((c * self.idf[w]) ** 2 for w, c in bag.items()))
             for w, c in bag.items():
-                self.postings.setdefault(w, []).append((k, c * self.idf[w] / norm))
+                self.unit[self.row[w], k] = c * self.idf[w] / norm
+        #: Of each wording, the words of which a passage must have one: those of its version, if it names it.
+        self.versions = [own if own & bag.keys() else frozenset() for own, (_, bag) in ((_version_words(name), (name, bag)) for name, bag in wordings)]
+        self.numbers = frozenset().union(*self.versions)
 
     def best(self, words: list[str]) -> tuple[float, str | None]:
         """(cosine, licence) of the nearest wording; ties go to the first by name."""
-        bag = Counter(w for w in words if w not in _STOP)
-        if not any(w in self.postings for w in bag):
+        return self._best(Counter(w for w in words if w not in _STOP))
+
+    def _best(self, bag: Counter) -> tuple[float, str | None]:
+        held = [w for w in bag if w in self.row]
+        if not held:
             return 0.0, None
-        norm, sums = 0.0, np.zeros(len(self.names))
-        for w, c in bag.items():
-            x = c * self.idf.get(w, self.unseen)
-            norm += x * x
-            for k, y in self.postings.get(w, ()):
-                sums[k] += x * y
-        k = int(np.argmax(np.round(sums, 12)))
-        return float(sums[k] / np.sqrt(norm)), self.names[k]
-
-    def scan(self, text: str | None) -> tuple[float, str | None]:
-        """The best of all lines and of all blocks of non-empty lines of a whole text."""
+        norm = sum((c * self.idf.get(w, self.unseen)) ** 2 for w, c in bag.items())
+        sums = np.array([bag[w] * self.idf[w] for w in held]) @ self.unit[[self.row[w] for w in held]]
+        said = self.numbers & bag.keys()
+        for k in np.argsort(-np.round(sums, 12), kind="stable").tolist():
+            if not self.versions[k] or self.versions[k] & said:
+                return float(sums[k] / np.sqrt(norm)), self.names[k]
+        return 0.0, None
+
+    def can_reach(self, words: Iterable[str], least: float) -> np.ndarray:
+        """Wordings that a passage of some of `words` can be `least` near to: the others lack too much of their own length."""
+        return (self.unit[[self.row[w] for w in self.row.keys() & words]] ** 2).sum(axis=0) >= least * least - 1e-9
+
+    def scan(self, text: str | None, least: float = COSINE) -> tuple[float, str | None]:
+        """The best of all lines, of all blocks of non-empty lines, and of the whole text.
+
+        Long templates are compared with blocks and the whole text where they
+        can be `least` near, and then go before the notices.
+        """
         found: tuple[float, str | None] = (0.0, None)
         block: list[str] = []
+        blocks: list[list[str]] = []
         held = 0  # lines of the block that share a word with a template
         lines = 0
         for line in [*(text or "").split("\n"), ""]:
             words = _TOKEN.findall(line.lower())
             if words:
-                hit = not self.postings.keys().isdisjoint(words)
+                hit = not self.row.keys().isdisjoint(words)
                 if hit:
                     found = max(found, self.best(words), key=lambda f: f[0])
                 block += words
@@ -111,7 +191,15 @@ class Templates:
                 continue
             if held and lines > 1:
                 found = max(found, self.best(block), key=lambda f: f[0])
+            if block:
+                blocks.append(block)
             block, held, lines = [], 0, 0
+        if self.long is None:
+            return found
+        bag = Counter(w for own in blocks for w in own if w not in _STOP)
+        if self.long.can_reach(bag.keys(), least).any():
+            far = max((self.long._best(bag), *map(self.long.best, blocks)), key=lambda f: f[0])
+            found = far if far[0] >= least else max(found, far, key=lambda f: f[0])
         return found
 
 
@@ -127,7 +215,7 @@ def own_licences(files: DataFrame, templates: dict[str, tuple[str, ...]] | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
         for batch in batches:
-            found = [own.scan(t) for t in batch.column(2).to_pylist()]
+            found = [own.scan(t, cosine) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([n if c >= cosine else None for c, n in found], pa.string()), pa.array([round(c, 6) for c, _ in found], pa.float64())], ["file_id", "path", "own_licence", "cosine"]
             )
