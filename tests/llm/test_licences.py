@@ -76,6 +76,54 @@ def test_long_template_without_its_kind_of_text():
     assert _named("the software is a copy of the work that any person may use and the source of it is provided as is\n" * 40) is None
 
 
+@pytest.mark.parametrize(
+    ("text", "name"),
+    [
+        ("Copyright 2021 Example Corp. Released under the MIT License. See docs for details.", "MIT"),
+        ("Cabbage leaves were counted twice in spring. Licensed under the Apache License, Version 2.0. Nobody knows why the rabbits came back in autumn.", "Apache-2.0"),
+        ("/* lib 1.2 */ !function(a,b){return a+b} /* This work is licensed under the GNU General Public License, version 2 */ var q=function(z){return z}", "GPL-2.0"),
+        ("They were released under pressure and the driver has a license of the city of Rome which nobody had ever asked to see", None),
+    ],
+)
+def test_notices_inside_lines(text, name):
+    assert _named(text) == name
+
+
+@pytest.mark.parametrize(("kind", "version", "name"), [("Library General", "2", "LGPL-2.0"), ("Lesser General", "2.1", "LGPL-2.1"), ("Lesser General", "3", "LGPL-3.0"), ("Affero General", "3", "AGPL-3.0"), ("General", "2", "GPL-2.0")])
+def test_windows_between_siblings(kind, version, name):
+    """A window must not leave out the word that tells siblings apart."""
+    text = f"Libfrob is free software; you can redistribute it and/or modify it under the terms of the GNU {kind} Public License as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version."
+    assert _named(f"import os; {text} print(17)") == name
+
+
+def test_three_clauses_are_not_two():
+    text = (licences.FULL_TEXTS / "BSD-3-Clause.txt").read_text().split("\n", 1)[1].replace("the copyright holder", "the University")
+    assert _named(f"Copyright (c) The Regents of the University of California.\nAll rights reserved.\n{text}") == "BSD-3-Clause"
+
+
+def test_long_templates_inside_lines():
+    prose = " ".join(f"word{k} and thing{k}" for k in range(400))
+    for name in ("MIT", "ISC", "GPL-2.0", "GPL-3.0"):
+        for text in (licences.HEADERS.get(name, [""])[-1], (licences.FULL_TEXTS / f"{name}.txt").read_text()):
+            assert not text or _named(" ".join([prose, *text.split(), prose])) == name
+    assert _named(prose) is None
+
+
+def test_windows_against_every_window():
+    t = licences.Templates({"X-1": ("one two three two", "five one"), "Y": ("three four five three three six",)})
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        words = rng.choice(["one", "two", "three", "four", "five", "six", "odd", "even"], rng.integers(1, 40)).tolist()
+        every = [_cosine(t, words[p : p + n], n) for n in set(t.lengths.tolist()) for p in range(len(words) - n + 1)]
+        assert t.windows(words, 0.75)[0] == pytest.approx(max((c for c in every if c >= 0.75), default=0.0))
+
+
+def _cosine(t, words, n):
+    bag = Counter(words)
+    norm = np.sqrt(sum((c * t.idf.get(w, t.unseen)) ** 2 for w, c in bag.items()))
+    return max(sum(c * t.idf[w] * t.unit[t.row[w], k] for w, c in bag.items() if w in t.row) / norm for k in np.flatnonzero(t.lengths == n))
+
+
 def test_inheritance(spark):
     mit, apache = "Released under the MIT License.", "Licensed under the Apache License, version 2.0."
     rows = [

@@ -1,6 +1,7 @@
 """Licence scans: sparse TF-IDF cosines of passages to templates, and inheritance from the nearest directory.
 
-Every line and every block of lines of a whole text is a passage. Passages and
+Every line and every block of lines of a whole text is a passage, and so is every
+run of as many words as a template has, wherever in a line it stands. Passages and
 templates are TF-IDF vectors over words, with document frequencies of the
 templates; a word outside the templates has the greatest weight, so unrelated
 prose around a notice lowers its cosine, and common words have none. The best
@@ -11,7 +12,7 @@ Short notices are one set of templates; standard headers and full licence texts
 and the whole text are compared. A match there goes before a notice, which may
 be one that the licence itself quotes. Versions of one licence differ in little
 else than the number, so a wording that names its version matches only passages
-that name it too.
+that name it too; other siblings are told apart by words that one of them lacks.
 
 A file without one takes that of the licence file in the nearest directory
 above it. Directories, not files, are joined with their ancestors.
@@ -100,8 +101,10 @@ HEADERS: dict[str, tuple[str, ...]] = {
 FULL_TEXTS = Path(__file__).resolve().parent / "licence_texts"
 #: Version numbers that tell licences of one family apart.
 VERSIONS = {"GPL-1.0": "1", "GPL-2.0": "2", "GPL-3.0": "3", "LGPL-2.0": "2", "LGPL-2.1": "2.1", "LGPL-3.0": "3", "AGPL-3.0": "3", "MPL-1.1": "1.1", "MPL-2.0": "2"}
-#: Words of the least opening of a full text that is a template; each further one has twice as many.
-OPENING = 50
+#: Words that a passage of a licence hasn't, but its sibling's has; a wording that has them itself may meet them.
+FOREIGN = {**dict.fromkeys(("GPL-1.0", "GPL-2.0", "GPL-3.0"), frozenset({"lesser", "affero", "librarygeneral"})), "BSD-2-Clause": frozenset({"endorse"})}
+#: Words of the least opening of a full text that is a template; each further one has twice as many. Texts of under LONG words have none.
+OPENING, LONG = 50, 400
 #: Least cosine of a match.
 COSINE = 0.75
 LICENCE_FILE = r"(?i)^(un)?licen[cs]e([.-].*)?$|^copying([.-].*)?$|^notice([.-].*)?$"
@@ -109,13 +112,20 @@ _TOKEN = re.compile(r"[^\W_]+(?:\.\d+)*")
 _STOP = COMMON_WORDS | {"may", "can", "any", "you", "your", "copy"}
 
 
+def _content(words: list[str]) -> list[str]:
+    """Words without common ones; the "Library General" licence is told from a library under the General one."""
+    if "library" in words:
+        words = ["librarygeneral" if w == "library" and after == "general" else w for w, after in zip(words, [*words[1:], ""])]
+    return [w for w in words if w not in _STOP]
+
+
 def long_templates() -> dict[str, tuple[str, ...]]:
-    """Headers, full texts with and without a first line that is a title, and openings of full texts."""
+    """Headers, full texts with and without a first line that is a title, and openings of long texts."""
     out: dict[str, list[str]] = {name: list(own) for name, own in HEADERS.items()}
     for file in sorted(FULL_TEXTS.glob("*.txt")):
         text = file.read_text(encoding="utf-8")
         words = _TOKEN.findall(text.lower())
-        sizes = [OPENING << k for k in range(20) if OPENING << k < len(words)]
+        sizes = [OPENING << k for k in range(20) if LONG <= len(words) > OPENING << k]
         out.setdefault(file.stem, []).extend([text, text.strip().partition("\n")[2], *(" ".join(words[:n]) for n in sizes)])
     return {name: tuple(own) for name, own in out.items()}
 
@@ -132,12 +142,13 @@ class Templates:
 
     def __init__(self, templates: dict[str, tuple[str, ...]] | None = None):
         self.long = Templates(long_templates()) if templates is None else None
-        wordings = [(name, Counter(w for w in _TOKEN.findall(t.lower()) if w not in _STOP)) for name, own in sorted((templates or TEMPLATES).items()) for t in own]
+        wordings = [(name, Counter(_content(_TOKEN.findall(t.lower())))) for name, own in sorted((templates or TEMPLATES).items()) for t in own]
         self.names = [name for name, _ in wordings]
         n = len(wordings)
         df = Counter(w for _, bag in wordings for w in bag)
         self.idf = {w: np.log((1 + n) / (1 + k)) + 1 for w, k in df.items()}
         self.unseen = np.log(1 + n) + 1
+        self.lengths = np.array([sum(bag.values()) for _, bag in wordings])
         self.row = {w: k for k, w in enumerate(df)}
         self.unit = np.zeros((len(self.row), n))
         for k, (_, bag) in enumerate(wordings):
@@ -146,11 +157,12 @@ class Templates:
                 self.unit[self.row[w], k] = c * self.idf[w] / norm
         #: Of each wording, the words of which a passage must have one: those of its version, if it names it.
         self.versions = [own if own & bag.keys() else frozenset() for own, (_, bag) in ((_version_words(name), (name, bag)) for name, bag in wordings)]
-        self.numbers = frozenset().union(*self.versions)
+        self.foreign = [FOREIGN.get(name, frozenset()) - bag.keys() for name, bag in wordings]
+        self.deciding = frozenset().union(*self.versions, *self.foreign)
 
     def best(self, words: list[str]) -> tuple[float, str | None]:
         """(cosine, licence) of the nearest wording; ties go to the first by name."""
-        return self._best(Counter(w for w in words if w not in _STOP))
+        return self._best(Counter(_content(words)))
 
     def _best(self, bag: Counter) -> tuple[float, str | None]:
         held = [w for w in bag if w in self.row]
@@ -158,9 +170,9 @@ class Templates:
             return 0.0, None
         norm = sum((c * self.idf.get(w, self.unseen)) ** 2 for w, c in bag.items())
         sums = np.array([bag[w] * self.idf[w] for w in held]) @ self.unit[[self.row[w] for w in held]]
-        said = self.numbers & bag.keys()
+        said = self.deciding & bag.keys()
         for k in np.argsort(-np.round(sums, 12), kind="stable").tolist():
-            if not self.versions[k] or self.versions[k] & said:
+            if (not self.versions[k] or self.versions[k] & said) and not self.foreign[k] & said:
                 return float(sums[k] / np.sqrt(norm)), self.names[k]
         return 0.0, None
 
@@ -168,11 +180,56 @@ class Templates:
         """Wordings that a passage of some of `words` can be `least` near to: the others lack too much of their own length."""
         return (self.unit[[self.row[w] for w in self.row.keys() & words]] ** 2).sum(axis=0) >= least * least - 1e-9
 
+    def windows(self, words: list[str], least: float) -> tuple[float, str | None]:
+        """The best of all runs of as many words as a wording has, wherever they stand; nothing under `least`.
+
+        Common words don't count. The sums of all windows of one length come
+        from running sums: of a product, each word's share; of a squared norm,
+        what a word that leaves or enters changes, by its count in the window.
+        """
+        words = _content(words)
+        own: dict[str, int] = {}
+        at = np.array([own.setdefault(w, len(own)) for w in words], dtype=np.int64)
+        can = np.flatnonzero(self.can_reach(own.keys(), least) & (self.lengths <= len(words)))
+        found: tuple[float, str | None] = (0.0, None)
+        if not len(can):
+            return found
+        n = len(words)
+        weight = np.array([self.idf.get(w, self.unseen) for w in own])
+        rows = np.array([self.row.get(w, -1) for w in own])
+        place = np.sort(at * (n + 1) + np.arange(n))  # of each word in order, its places
+        begins = np.searchsorted(place, np.arange(len(own)) * (n + 1))
+        x = weight[at]
+
+        def count(of: np.ndarray, before: np.ndarray) -> np.ndarray:
+            """How often the word at each place `of` stands before each place `before`."""
+            return np.searchsorted(place, at[of] * (n + 1) + before) - begins[at[of]]
+
+        for size in np.unique(self.lengths[can]).tolist():
+            starts = np.arange(n - size)  # windows that have one after them
+            leaves = count(starts, starts + size) - count(starts, starts)
+            enters = count(starts + size, starts + size + 1) - count(starts + size, starts + 1)
+            change = (2 * enters - 1) * x[starts + size] ** 2 - (2 * leaves - 1) * x[starts] ** 2
+            first = np.bincount(at[:size], minlength=len(own))
+            norm = np.sqrt(np.maximum(np.cumsum(np.concatenate([[((first * weight) ** 2).sum()], change])), 1e-9))
+            for k in can[self.lengths[can] == size].tolist():
+                sums = np.concatenate([[0.0], np.cumsum(x * np.where(rows >= 0, self.unit[rows, k], 0.0)[at])])
+                near = (sums[size:] - sums[:-size]) / norm
+                for deciding, wanted in ((self.versions[k], True), (self.foreign[k] & own.keys(), False)):
+                    if deciding:
+                        said = np.concatenate([[0], np.cumsum(np.array([w in deciding for w in own])[at])])
+                        near = np.where((said[size:] > said[:-size]) == wanted, near, 0.0)
+                p = int(np.argmax(near))
+                if near[p] >= least and near[p] > found[0] + 1e-9:
+                    found = (float(near[p]), self.names[k])
+        return found
+
     def scan(self, text: str | None, least: float = COSINE) -> tuple[float, str | None]:
-        """The best of all lines, of all blocks of non-empty lines, and of the whole text.
+        """The best of all lines, of all blocks of non-empty lines, of the whole text, and of windows.
 
         Long templates are compared with blocks and the whole text where they
-        can be `least` near, and then go before the notices.
+        can be `least` near, and then go before the notices. Windows, of the
+        length of each template, count where they reach `least`.
         """
         found: tuple[float, str | None] = (0.0, None)
         block: list[str] = []
@@ -194,11 +251,13 @@ class Templates:
             if block:
                 blocks.append(block)
             block, held, lines = [], 0, 0
+        words = [w for own in blocks for w in own]
+        found = max(found, self.windows(words, least), key=lambda f: f[0])
         if self.long is None:
             return found
-        bag = Counter(w for own in blocks for w in own if w not in _STOP)
+        bag = Counter(_content(words))
         if self.long.can_reach(bag.keys(), least).any():
-            far = max((self.long._best(bag), *map(self.long.best, blocks)), key=lambda f: f[0])
+            far = max((self.long._best(bag), *map(self.long.best, blocks), self.long.windows(words, least)), key=lambda f: f[0])
             found = far if far[0] >= least else max(found, far, key=lambda f: f[0])
         return found
 
