@@ -138,3 +138,12 @@ def test_inheritance(spark):
 def test_documents(awkward, clashing, nothing):
     assert licences.scan_documents(awkward).count() == awkward.count() == licences.scan_documents(clashing).count()
     assert licences.scan_documents(nothing).count() == 0
+
+
+def test_documents_climb(spark):
+    """Licence files stand at the source, the language and the leaf, and the nearest counts."""
+    mit, apache, bsd = "Released under the MIT License.", "Licensed under the Apache License, version 2.0.", "Licensed under the BSD 2-Clause License"
+    rows = [(128, mit, "en", "web"), (64, apache, "de", "web"), (256, bsd, "de", "web"), (5, "prose", "en", "web"), (6, "prose", "de", "web"), (257, "prose", "de", "web"), (7, "prose", "en", "book"), (None, "prose", None, "web")]
+    out = {r["doc_id"]: (r["licence"], r["inherited_from"], r["levels_up"]) for r in licences.scan_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert out[5] == ("MIT", "web", 3) and out[6] == ("Apache-2.0", "web/de", 2) and out[257] == ("BSD-2-Clause", "web/de/1", 1)
+    assert out[7] == (None, None, None) and out[128] == ("MIT", None, 0) and out[None][0] == "MIT"

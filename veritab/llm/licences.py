@@ -313,13 +313,22 @@ def inherited(found: DataFrame) -> DataFrame:
 def document_files(docs: DataFrame) -> DataFrame:
     """A documents table as a tree of files: source/language/number of 256 ids/file.
 
-    The first id of each 256 stands for the directory's licence file, as
-    documents have no path of their own. Nulls are "none".
+    As documents have no path of their own, three of each 256 ids stand for
+    licence files, at every level of the tree: the first for its directory's,
+    the 65th for the language's and the 129th for the source's. Nulls are
+    "none".
     """
     ident = F.col("doc_id").cast("long")
-    name = F.when(F.pmod(ident, F.lit(256)) == 0, F.lit("LICENSE")).otherwise(F.concat(ident.cast("string"), F.lit(".txt")))
-    folder = [F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in ("source", "lang")]
-    return docs.select(ident.alias("file_id"), F.concat_ws("/", *folder, F.floor(ident / 256).cast("string"), name).alias("path"), "text")
+    place = F.pmod(ident, F.lit(256))
+    source, lang = (F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in ("source", "lang"))
+    leaf = F.floor(ident / 256).cast("string")
+    shared = F.concat(F.lit("LICENSE."), ident.cast("string"))  # an upper directory has many
+    path = (
+        F.when(place == 128, F.concat_ws("/", source, shared))
+        .when(place == 64, F.concat_ws("/", source, lang, shared))
+        .otherwise(F.concat_ws("/", source, lang, leaf, F.when(place == 0, F.lit("LICENSE")).otherwise(F.concat(ident.cast("string"), F.lit(".txt")))))
+    )
+    return docs.select(ident.alias("file_id"), path.alias("path"), "text")
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:
