@@ -40,6 +40,20 @@ def test_edit_likeness_against_a_loop(spark, awkward, parts):
     assert got == sorted(want, key=str)
 
 
+def test_ids_near_both_ends_of_a_long(spark):
+    """Each row has its next one, whatever the size of ids."""
+    top = (1 << 63) - 1
+    ids = [sign * (top - 1000 * k) - (sign < 0) for k in range(30) for sign in (1, -1)] + [1 << 62, (1 << 62) + 1, 0]
+    docs = spark.createDataFrame([(i, f"the big cat number {i} sat on a mat near the river {i}") for i in ids], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    try:
+        got = [r["doc_id"] for r in spotsigs.edit_likeness(docs).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(got) == sorted(ids)
+
+
 def test_edges(spark, nothing, clashing, awkward):
     assert spotsigs.edit_likeness(nothing).count() == 0
     assert spotsigs.edit_likeness(clashing).count() == awkward.count()

@@ -106,7 +106,8 @@ def _in_order(docs: DataFrame) -> DataFrame:
             ids = batch.column(0).to_numpy()
             at = np.searchsorted(splits, ids, side="right")
             for b in np.unique(at):
-                found[int(b)] = min(found.get(int(b), 1 << 62), int(ids[at == b].min()))
+                own = int(ids[at == b].min())
+                found[int(b)] = min(found.get(int(b), own), own)
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], ["bucket", "least"])
 
     first = {r["bucket"]: r["least"] for r in rows.select("_id").mapInArrow(leasts, "bucket long, least long").groupBy("bucket").agg(F.min("least").alias("least")).collect()}
