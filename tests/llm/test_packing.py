@@ -60,6 +60,13 @@ def test_ids_are_the_library_s(library):
             assert got == np.array(library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes(), t
 
 
+def test_ids_of_every_character(library):
+    """Each code point of the range that isn't left to the library, alone and inside and between words."""
+    texts = [t for c in map(chr, range(1, 0x250)) for t in (c, f"a{c}b {c}liyev {c}{c} 1{c}2")]
+    wrong = [t for got, t in zip(WordTokens(PATH).ids(texts), texts) if got != np.array(library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()]
+    assert not wrong
+
+
 def test_round_trip(awkward, library):
     rows = [tuple(r) for r in awkward.collect()]
     out = packing.pack(awkward).collect()

@@ -18,8 +18,9 @@ _DIGIT = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _SPACE = "\t-\r \x85\xa0"
 #: A word of lower-cased text, in the order in which the vocabulary's own pattern tries them.
 _WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_SPACE}{_LETTER}{_DIGIT}]+")
-#: Characters beyond which normalisation isn't plain lower-casing: combining marks, other scripts, and a capital I with dot.
-_OTHER = re.compile("[^\x00-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
+_SIGNS = "\u2010-\u2027\u2030-\u205e\u20ac"
+#: Characters beyond which normalisation isn't plain lower-casing within the range: combining marks, other scripts, and capitals whose small letters lie outside it.
+_OTHER = re.compile("[^" + "".join(re.escape(c) for c in map(chr, range(0x250)) if max(c.lower()) <= "\u024f") + _SIGNS + "]")
 #: The pattern that the class above restates; another vocabulary is left to the library.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
