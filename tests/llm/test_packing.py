@@ -67,6 +67,13 @@ def test_ids_of_every_character(library):
     assert not wrong
 
 
+def test_strings_of_special_tokens(library):
+    """The plain call of the library makes one id of such a string."""
+    texts = ["a <|endoftext|> b", "<|startoftext|>x<|endoftext|>", "A <|EndOfText|> b", "no <| endoftext |> here"]
+    for got, t in zip(WordTokens(PATH).ids(texts), texts):
+        assert got == np.array(library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes(), t
+
+
 def test_round_trip(awkward, library):
     rows = [tuple(r) for r in awkward.collect()]
     out = packing.pack(awkward).collect()

@@ -26,7 +26,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class WordTokens:
-    """ids(text) as little-endian unsigned 32-bit bytes; the strings of special tokens are ordinary text.
+    """ids(text) as little-endian unsigned 32-bit bytes; a text with the string of an added token goes to the library whole.
 
     At most about `cached` words are kept; beyond, those of the current texts stay.
     """
@@ -36,7 +36,7 @@ class WordTokens:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core; more threads only wait
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.added = tuple({t.content.lower() for t in self.library.get_added_tokens_decoder().values()})
         self.cached = cached
         self.known: dict[str, bytes] = {}
         spec = self.library.to_str().replace(" ", "")
@@ -61,9 +61,10 @@ class WordTokens:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        whole = [i for i, text in enumerate(texts) if not self.by_word or _OTHER.search(text)]
+        lowered = [text.lower() for text in texts]
+        whole = [i for i, text in enumerate(texts) if not self.by_word or _OTHER.search(text) or any(t in lowered[i] for t in self.added)]
         aside = set(whole)
-        split = [(i, _WORD.findall(text.lower())) for i, text in enumerate(texts) if i not in aside]
+        split = [(i, _WORD.findall(low)) for i, low in enumerate(lowered) if i not in aside]
         if len(self.known) > self.cached:
             self.known = {w: self.known[w] for w in set().union(*(words for _, words in split)) if w in self.known}
         found = [list(map(self.known.get, words)) for _, words in split]
