@@ -54,3 +54,33 @@ def test_stage_keeps_rows_and_columns(nothing, clashing):
     for r in out.collect():
         assert r["text"] is None or r["n_chars"] == len(r["text"])
     assert linededup.drop_repeated_lines(nothing).count() == 0
+
+
+def test_filters_of_ranges_suspect_few(spark, tmp_path):
+    """Keys that one filter can't tell apart are cut into ranges: what is suspected stays close to what repeats."""
+    once = [(k, "\n".join(f"a line that stands in one document only {k} {i}" for i in range(40))) for k in range(100)]
+    often = [(1000 + k, "\n".join(f"a line that stands in several documents {i}" for i in range(10))) for k in range(5)]
+    docs = spark.createDataFrame(once + often, "doc_id long, text string").repartition(3)
+    rows = linededup.cut(linededup._marked(docs).mapInArrow(linededup._row_keys(20), "k1 long, k2 long, id long, mark long"))
+    for bits in (1 << 16, 1 << 10):
+        _, counts = linededup.suspected(rows, 4010, bits)
+        got = counts.collect()
+        assert sum(r["n"] >= 3 for r in got) == 10
+        assert len(got) < 0.2 * 4010, bits
+
+
+def test_rows_without_an_id_lose_their_own_lines_only(spark):
+    """Many rows share the null id; decisions are gathered by id and text."""
+    rows = [(None, f"a line that stands in all of the documents\nown {k}") for k in range(6)] + [(1, "a line that stands in all of the documents")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in linededup.line_digests(docs).collect()), key=str)
+    assert got == brute(rows)
+
+
+def test_emptied_rows_may_go(spark):
+    shared = "one line that is found in every one of them"
+    rows = [(k, shared, 1) for k in (1, 2, 3)] + [(4, None, 0), (5, "", 0), (6, " \n", 2), (7, shared + "\nand more", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    left = {r["doc_id"]: r["text"] for r in linededup.drop_repeated_lines(docs, drop_emptied=True).collect()}
+    assert left == {4: None, 5: "", 6: " \n", 7: shared + "\nand more"}
+    assert linededup.drop_repeated_lines(docs).count() == len(rows)

@@ -49,6 +49,7 @@ def test_against_all_pairs(spark, awkward):
 def test_a_hot_group_of_near_copies(spark, monkeypatch):
     """Hundreds of copies, each edited at its own place, in blocks far smaller than their buckets."""
     monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "TILE", 5)
     base = [f"w{k}" for k in range(120)]
     rows = []
     for k in range(150):
@@ -81,3 +82,23 @@ def test_sketch_estimates_similarity():
     tiny = fast_sketch(np.array([7], np.uint64), np.array([1]), 64)
     assert (tiny != np.uint64(0xFFFFFFFFFFFFFFFF)).all()  # one element fills every coordinate
     assert len(shingle_set(ascii_words("a b c d e a b c d e"))) == 5
+
+
+def test_more_ids_than_a_filter_holds(spark, monkeypatch, awkward):
+    """Then ids and texts are joined by shuffle; the result is the same."""
+    want = {tuple(r) for r in minhash.near_duplicates(awkward, 80).collect()}
+    monkeypatch.setattr(minhash, "ID_FILTER_BITS", 1)
+    assert {tuple(r) for r in minhash.near_duplicates(awkward, 80).collect()} == want
+
+
+def test_of_rows_that_share_an_id_the_least_text_stays(spark):
+    rows = [(1, "one text of its own here", "x"), (1, "another text that is longer than it", "y"), (2, "words that nobody else has written", "z"), (3, None, "u"), (3, "a text beside a null one", "v")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, `odd.name` string")
+    left = sorted(tuple(r) for r in minhash.drop_near_duplicates(docs).collect())
+    assert left == [(1, "another text that is longer than it", "y"), (2, "words that nobody else has written", "z"), (3, None, "u")]
+
+
+def test_low_thresholds_keep_the_miss_rate():
+    for percent in (5, 20, 50, 80, 85):
+        bands, rows = minhash.banding(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= minhash.MISS * 1.001

@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from veritab.shipping import ship
 
-#: Rows in an Arrow batch between the JVM and Python; whole texts travel, so it is kept low.
-ARROW_ROWS = 512
+#: Rows of texts that a worker takes from an Arrow batch at once, and rows of numbers that it gathers.
+TEXT_ROWS, NUMBER_ROWS = 512, 65_536
 #: Most ids that are broadcast at once (8 bytes each); beyond it the join shuffles.
 BROADCAST_IDS = 2_000_000
-#: Bits of an id filter. A fixed size: with very many ids more rows pass, none is lost.
-ID_FILTER_BITS = 1 << 25
+#: Bits of an id filter for each id, and in all (32 MB).
+ID_BITS, ID_FILTER_BITS = 12, 1 << 28
+#: A group is hot that has more than one in so many of all rows: at most so many groups are, which bounds their broadcast.
+HOT_SHARE = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,12 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Set the Arrow batch size, a checkpoint folder where the session has none, and see that workers have the package.
+    """Set a checkpoint folder where the session has none, and see that workers have the package.
 
     A cluster names its shared folder in spark.checkpoint.dir. Only a local
-    session may fall back to a temporary folder of this machine.
+    session may fall back to a temporary folder of this machine. No setting of
+    the session is changed: Spark bounds the bytes of an Arrow batch, workers
+    take their rows from it in slices.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     ship(spark)
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
@@ -86,19 +89,87 @@ def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(gone, docs["doc_id"].cast("long") == gone[name], "left_anti")
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = TEXT_ROWS) -> Iterator[pa.RecordBatch]:
+    """Slices of at most `rows` rows."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], rows: int = NUMBER_ROWS) -> Iterator[pa.Table]:
+    """Tables of at least `rows` rows, but for the last: small batches cost more than what is done with them."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def units_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of the rows of each unit (first column) of rows sorted by unit; units of one row are left out."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        unit = batch.column(0).to_numpy()
+        if held and unit[0] != last:
+            yield from _whole(held)
+            held = []
+        edge = np.flatnonzero(np.diff(unit)) + 1
+        at = int(edge[-1]) if len(edge) else 0
+        if at:
+            held.append(batch.slice(0, at))
+            yield from _whole(held)
+            held = []
+        held.append(batch.slice(at))
+        last = unit[-1]
+    if held:
+        yield from _whole(held)
+
+
+def _whole(parts: list[pa.RecordBatch]) -> Iterator[pa.Table]:
+    rows = pa.Table.from_batches(parts).combine_chunks()
+    unit = rows.column(0).to_numpy()
+    cuts = [0, *(np.flatnonzero(np.diff(unit)) + 1).tolist(), len(unit)]
+    for p, q in zip(cuts, cuts[1:]):
+        if q - p > 1:
+            yield rows.slice(p, q - p)
+
+
+def small(rows: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
+    """`rows` (checkpointed) marked for broadcast if there are at most `most`, by count."""
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def block_units(rows: DataFrame, keys: list[str], ident: str, block: int) -> DataFrame:
-    """`rows` with (unit long, side long): any two rows of a key group meet in exactly one unit.
+    """`rows` (checkpointed) with (unit long, side long): any two rows of a key group meet in exactly one unit.
 
-    A group of n rows is cut into ceil(n / block) blocks by a hash of `ident`;
-    a unit is one block, or two of different `side`, so none outgrows about
-    2 x block rows however large its group.
+    A group of up to `block` rows is a unit. Of a larger one of n rows,
+    ceil(n / block) blocks are cut by a hash of `ident`; a unit is one block, or
+    two of different `side`, so none outgrows about 2 x block rows however large
+    its group, and n x n / block rows are made of n. Only the sizes of larger
+    groups are joined, by broadcast where they are few.
     """
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys, F.ceil(F.col("_n") / F.lit(block)).cast("int").alias("_nb"))
-    own = rows.join(sizes, keys).withColumn("side", F.pmod(F.xxhash64(F.lit("side"), ident), F.col("_nb")))
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > block)
+    large = small(cut(sizes.select(*keys, F.ceil(F.col("_n") / F.lit(block)).cast("int").alias("_nb"))))
+    own = rows.join(large, keys, "left").withColumn("_nb", F.coalesce("_nb", F.lit(1)))
+    own = own.withColumn("side", F.pmod(F.xxhash64(F.lit("side"), ident), F.col("_nb")))
     spread = own.withColumn("_to", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
     return spread.withColumn("unit", F.xxhash64(*keys, F.least("side", "_to"), F.greatest("side", "_to"))).drop("_to", "_nb")
 
 
+def hot_groups(rows: DataFrame, key: list[str], least: int) -> DataFrame:
+    """(key, n) of groups of more than `least` rows and more than one in HOT_SHARE of all: at most HOT_SHARE groups; checkpointed."""
+    sizes = rows.groupBy(*key).agg(F.count("*").alias("n"))
+    total = rows.count()
+    return cut(sizes.where((F.col("n") > least) & (F.col("n") * HOT_SHARE > total)))
+
+
 def _positions(x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     z = x.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     z = (z ^ (z >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -106,20 +177,29 @@ def _positions(x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (z >> np.uint64(7)) & mask, (z >> np.uint64(35)) & mask
 
 
+def filter_bits(items: int, per_item: int, most: int) -> int:
+    """Bits of a filter for so many items: a power of two, at least 2^16 (or `most`), at most `most`."""
+    bits = min(1 << 16, most)
+    while bits < most and bits < items * per_item:
+        bits *= 2
+    return bits
+
+
 class IdFilter:
-    """A Bloom filter of row ids with a fixed number of bits: may let others pass, never loses one."""
+    """A Bloom filter of row ids: may let others pass, never loses one."""
 
     def __init__(self, words: np.ndarray):
         self.words = words
         self.bits = len(words) * 64
 
     @classmethod
-    def build(cls, ids: DataFrame, bits: int = ID_FILTER_BITS) -> IdFilter:
-        """OR the bit words of all ids of a one-column frame.
+    def build(cls, ids: DataFrame, count: int, most: int = ID_FILTER_BITS) -> IdFilter:
+        """OR the bit words of all ids of a one-column frame of `count` rows, ID_BITS an id up to `most`.
 
         Words are combined in the map tasks and again by word index, so at most
         bits / 64 rows reach the driver, whatever the number of ids.
         """
+        bits = filter_bits(count, ID_BITS, most)
 
         def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = np.zeros(bits // 64, dtype=np.uint64)

@@ -6,13 +6,14 @@
    with log2 of the number of classes so that a bucket of unrelated vectors
    stays small, and tables with them so that a pair at the threshold misses all
    tables with probability MISS.
-3. Buckets are cut into blocks that meet two by two. In a first pass only the
-   packed signs travel: a pair is taken up in the first table in which it
-   meets, if its signs differ in few enough places; only vectors with such a
-   partner go on.
+3. Buckets are cut into blocks that meet two by two. In a first pass a vector
+   sends, for each table, its id and two words of further signs: only vectors
+   go on that have a partner in their unit whose words differ in few enough
+   places.
 4. The second pass brings those vectors and takes exact cosines in double
-   precision. A unit returns counts of links and a spanning forest of them,
-   never its pairs, so dense groups return rows in proportion to their vectors.
+   precision, of each pair in the first table in which it meets. A unit returns
+   counts of links and a spanning forest of them, never its pairs, so dense
+   groups return rows in proportion to their vectors.
 """
 
 from __future__ import annotations
@@ -26,13 +27,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import block_units, cut, prepare
+from veritab.llm.common import block_units, cut, prepare, sliced, units_of
 from veritab.llm.components import connected_components
 
 #: Probability that a pair exactly at the threshold shares no bucket.
 MISS = 1e-4
-#: Vectors that a bucket of unrelated vectors holds on average, and rows a side of a unit.
-BUCKET, BLOCK = 64, 512
+#: Vectors that a bucket of unrelated vectors holds on average, rows a side of a unit, and rows compared at once.
+BUCKET, BLOCK, TILE = 256, 8192, 1024
+#: Signs in the two words of the first pass.
+WORDS = 128
 SEED = 97
 
 
@@ -63,123 +66,121 @@ def _clean(vectors: list) -> list[np.ndarray | None]:
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         clean = _clean(batch.column(1).to_pylist())
         raw = [None if x is None else x.tobytes() for x in clean]
         keys = [None if r is None else xxhash.xxh3_128_digest(r) for r in raw]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(raw, pa.binary())], ["vec_id", "key", "vector"])
 
 
+def _buckets(x: np.ndarray, planes: np.ndarray, bits: int, tables: int) -> np.ndarray:
+    signs = x / np.abs(x).max() @ planes[:, : bits * tables] >= 0
+    return ((len(x) * tables + np.arange(tables)) << 30) | (signs.reshape(tables, bits) @ (1 << np.arange(bits, dtype=np.int64)))
+
+
 def _sign(bits: int, tables: int):
+    """(id, buckets, s1, s2): a bucket of each table, and the signs of WORDS more hyperplanes."""
     planes: dict[int, np.ndarray] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed, buckets = [], []
+        for batch in sliced(batches):
+            words, buckets = [], []
             for raw in batch.column(1).to_pylist():
                 x = np.frombuffer(raw, np.float64)
                 if len(x) not in planes:
-                    planes[len(x)] = _hyperplanes(len(x), bits * tables)
-                signs = x / np.abs(x).max() @ planes[len(x)] >= 0
-                packed.append(np.packbits(signs).tobytes())
-                groups = signs.reshape(tables, bits) @ (1 << np.arange(bits, dtype=np.int64))
-                buckets.append(((len(x) * tables + np.arange(tables)) << 30) | groups)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(buckets, pa.list_(pa.int64())), pa.array(packed, pa.binary())], ["id", "buckets", "signs"])
+                    planes[len(x)] = _hyperplanes(len(x), bits * tables + WORDS)
+                own = planes[len(x)]
+                words.append(np.packbits(x / np.abs(x).max() @ own[:, bits * tables :] >= 0).tobytes())
+                buckets.append(_buckets(x, own, bits, tables))
+            w = np.frombuffer(b"".join(words), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(buckets, pa.list_(pa.int64())), pa.array(w[:, 0].copy()), pa.array(w[:, 1].copy())], ["id", "buckets", "s1", "s2"])
+
+    return run
+
+
+def _partnered(apart: int):
+    """Rows (unit, bucket, id, side, s1, s2) that have a partner in their unit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in units_of(batches):
+            side = rows.column("side").to_numpy()
+            s1, s2 = (rows.column(c).to_numpy().view(np.uint64) for c in ("s1", "s2"))
+            split = (side != side[0]).any()
+            some = np.zeros(len(side), dtype=bool)
+            for p in range(0, len(side), TILE):
+                x, y = slice(p, p + TILE), slice(p, None)
+                near = np.triu(np.bitwise_count(s1[x, None] ^ s1[None, y]) + np.bitwise_count(s2[x, None] ^ s2[None, y]) <= apart, 1)
+                if split:  # two blocks: pairs inside one block meet in its own unit
+                    near &= side[x, None] != side[None, y]
+                some[x] |= near.any(axis=1)
+                some[y] |= near.any(axis=0)
+            if some.any():
+                yield from rows.filter(pa.array(some)).select(["unit", "bucket", "id", "side"]).to_batches()
+
+    return run
+
+
+def _linked(tables: int, cosine: float):
+    """Counts and a forest of the links of each unit of rows (unit, bucket, id, side, copies, vector, buckets)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in units_of(batches):
+            x = np.stack([np.frombuffer(v, np.float64) for v in rows.column("vector").to_pylist()])
+            x = x / np.abs(x).max(axis=1, keepdims=True)
+            x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+            ids, copies, side = (rows.column(c).to_numpy() for c in ("id", "copies", "side"))
+            split = (side != side[0]).any()
+            own = np.stack(rows.column("buckets").to_numpy())
+            table = (rows.column("bucket")[0].as_py() >> 30) % tables
+            n, us, vs = np.zeros(len(ids), np.int64), [], []
+            for p in range(0, len(ids), TILE):
+                for q in range(p, len(ids), TILE):
+                    a, b = slice(p, p + TILE), slice(q, q + TILE)
+                    link = x[a] @ x[b].T >= cosine
+                    link = np.triu(link, 1) if p == q else link
+                    if split:
+                        link &= side[a, None] != side[None, b]
+                    i, j = np.nonzero(link)
+                    i, j = i + p, j + q
+                    for t in range(table):  # pairs that met in an earlier table are counted there
+                        fresh = own[i, t] != own[j, t]
+                        i, j = i[fresh], j[fresh]
+                    np.add.at(n, i, copies[j])
+                    np.add.at(n, j, copies[i])
+                    u, v = _forest(i, j)
+                    us.append(u)
+                    vs.append(v)
+            u, v = _forest(np.concatenate(us), np.concatenate(vs))
+            some = np.flatnonzero(n)
+            for k in range(0, len(some), 1 << 16):
+                at = some[k : k + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.nulls(len(at), pa.int64()), pa.array(n[at])], ["u", "v", "n"])
+            for k in range(0, len(u), 1 << 16):
+                at = slice(k, k + (1 << 16))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[u[at]]), pa.array(ids[v[at]]), pa.array(np.zeros(len(u[at]), np.int64))], ["u", "v", "n"])
 
     return run
 
 
-def _groups(packed: list[bytes], bits: int, tables: int) -> np.ndarray:
-    flat = np.unpackbits(np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1), axis=1)[:, : bits * tables]
-    return flat.reshape(len(packed), tables, bits) @ (1 << np.arange(bits, dtype=np.uint32))
-
-
-def _met(groups: np.ndarray, side: np.ndarray, bucket: int, tables: int, apart: int) -> np.ndarray:
-    """Upper triangle of pairs that first meet in this bucket's table and differ in at most `apart` signs."""
-    table = (bucket >> 30) % tables
-    m = len(groups)
-    differ, before = np.zeros((m, m), dtype=np.uint16), np.zeros((m, m), dtype=bool)
-    for t in range(tables):
-        x = groups[:, t][:, None] ^ groups[:, t][None, :]
-        differ += np.bitwise_count(x)
-        if t < table:
-            before |= x == 0
-    good = np.triu(~before & (differ <= apart), 1)
-    if (side != side[0]).any():  # two blocks: pairs inside one block meet in its own unit
-        good &= side[:, None] != side[None, :]
-    return good
-
-
-def _units(batches: Iterator[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
-    """Apply `work` to the rows of each unit (first column) of rows sorted by unit."""
-    rest = None
-
-    def whole(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        unit = rows.column(0).to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(unit)) + 1), len(unit)]
-        for p, q in zip(cuts, cuts[1:]):
-            if q - p > 1:
-                yield from work(rows.slice(p, q - p))
-
-    for batch in batches:
-        now = pa.Table.from_batches([batch])
-        now = pa.concat_tables([rest, now]).combine_chunks() if rest is not None else now
-        unit = now.column(0).to_numpy()
-        edge = np.flatnonzero(np.diff(unit)) + 1
-        last = int(edge[-1]) if len(edge) else 0
-        if last:
-            yield from whole(now.slice(0, last))
-        rest = now.slice(last)
-    if rest is not None and rest.num_rows:
-        yield from whole(rest)
-
-
-def _partnered(bits: int, tables: int, apart: int):
-    def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        met = _met(_groups(rows.column("signs").to_pylist(), bits, tables), rows.column("side").to_numpy(), rows.column("bucket")[0].as_py(), tables, apart)
-        at = np.flatnonzero(met.any(axis=0) | met.any(axis=1))
-        if len(at):
-            yield from rows.take(pa.array(at)).combine_chunks().to_batches()
-
-    return lambda batches: _units(batches, work)
-
-
-def _linked(bits: int, tables: int, apart: int, cosine: float):
-    def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        met = _met(_groups(rows.column("signs").to_pylist(), bits, tables), rows.column("side").to_numpy(), rows.column("bucket")[0].as_py(), tables, apart)
-        x = np.stack([np.frombuffer(v, np.float64) for v in rows.column("vector").to_pylist()])
-        x = x / np.abs(x).max(axis=1, keepdims=True)
-        x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
-        link = met & (x @ x.T >= cosine)
-        if not link.any():
-            return
-        ids, copies = rows.column("id").to_numpy(), rows.column("copies").to_numpy()
-        n = link @ copies + link.T @ copies
-        u, v = _forest(link)
-        some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([ids[some], ids[u]])), pa.array(np.concatenate([np.zeros(len(some), np.int64), ids[v]]), mask=np.concatenate([np.ones(len(some), bool), np.zeros(len(u), bool)])), pa.array(np.concatenate([n[some], np.zeros(len(u), np.int64)]))],
-            ["u", "v", "n"],
-        )
-
-    return lambda batches: _units(batches, work)
-
-
-def _forest(link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of an upper-triangular link matrix."""
-    both = link | link.T
-    seen, edges = np.zeros(len(both), dtype=bool), []
-    for root in range(len(both)):
-        if seen[root] or not both[root].any():
-            continue
-        seen[root], front = True, [root]
-        while front:
-            at = front.pop()
-            for k in np.flatnonzero(both[at] & ~seen):
-                seen[k] = True
-                edges.append((at, k))
-                front.append(k)
-    u, v = zip(*edges) if edges else ((), ())
+def _forest(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest of the pairs (i, j)."""
+    root: dict[int, int] = {}
+    u, v = [], []
+
+    def find(x: int) -> int:
+        top = x
+        while root.setdefault(top, top) != top:
+            top = root[top]
+        while root[x] != top:
+            root[x], x = top, root[x]
+        return top
+
+    for a, b in zip(i.tolist(), j.tolist()):
+        p, q = find(a), find(b)
+        if p != q:
+            root[q] = p
+            u.append(a)
+            v.append(b)
     return np.array(u, dtype=np.int64), np.array(v, dtype=np.int64)
 
 
@@ -199,16 +200,16 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, miss: float = MISS) -
     usable = made.where("key is not null and vec_id is not null")
     classes = cut(usable.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vector").alias("vector")).select("rep", "copies", "vector", "key"))
     bits, tables = tables_for(classes.count(), cosine, miss)
-    apart = most_apart(bits * tables, cosine)
+    apart = most_apart(WORDS, cosine)
     body = classes.withColumn("id", F.xxhash64("key"))
 
-    signed = body.select("id", "vector").mapInArrow(_sign(bits, tables), "id long, buckets array<long>, signs binary")
-    rows = cut(signed).select("id", F.explode("buckets").alias("bucket"), "signs")
-    units = block_units(rows, ["bucket"], "id", BLOCK).select("unit", "bucket", "id", "side", "signs")
-    shape = "unit long, bucket long, id long, side long, signs binary"
-    partnered = cut(units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_partnered(bits, tables, apart), shape))
-    full = partnered.join(body.select("id", "copies", "vector"), "id").select("unit", "bucket", "id", "side", "signs", "copies", "vector")
-    found = cut(full.repartition("unit").sortWithinPartitions("unit").mapInArrow(_linked(bits, tables, apart, cosine), "u long, v long, n long"))
+    signed = body.select("id", "vector").mapInArrow(_sign(bits, tables), "id long, buckets array<long>, s1 long, s2 long")
+    signed = cut(signed)
+    rows = signed.select("id", F.explode("buckets").alias("bucket"), "s1", "s2")
+    units = block_units(rows, ["bucket"], "id", BLOCK).select("unit", "bucket", "id", "side", "s1", "s2")
+    partnered = cut(units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_partnered(apart), "unit long, bucket long, id long, side long"))
+    full = partnered.join(body.select("id", "copies", "vector"), "id").join(signed.select("id", "buckets"), "id").select("unit", "bucket", "id", "side", "copies", "vector", "buckets")
+    found = cut(full.repartition("unit").sortWithinPartitions("unit").mapInArrow(_linked(tables, cosine), "u long, v long, n long"))
 
     reps = body.select("id", "rep")
     links = found.where("v is not null").select("u", "v")

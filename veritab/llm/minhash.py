@@ -18,8 +18,12 @@ Plan, for any size of input:
    to verification. A pair inside one component can't change it, so the
    result is that of all pairs.
 
-Full sets are rebuilt only for documents in candidate pairs, picked in the scan
-by a Bloom filter of fixed size, so texts are never shuffled.
+Full sets are rebuilt only for documents in candidate pairs. They are picked in
+the scan by a Bloom filter whose size follows the number of pairs, so texts
+aren't shuffled; where there are more ids than a filter of ID_FILTER_BITS can
+tell apart, ids and texts are joined by shuffle instead, with the same result.
+For verification a member's set meets its head's once for each block of
+members, so a head with millions of members isn't copied into as many rows.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import IdFilter, block_units, cut, doc_texts, prepare, raw_texts, without_ids
+from veritab.llm.common import ID_BITS, ID_FILTER_BITS, IdFilter, block_units, cut, doc_texts, fresh, hot_groups, prepare, quoted, raw_texts, sliced, units_of, without_ids
 from veritab.llm.components import connected_components
 from veritab.llm.hashing import ascii_words, band_keys, fast_sketch, set_identity, shingle_set
 
@@ -40,7 +44,8 @@ from veritab.llm.hashing import ascii_words, band_keys, fast_sketch, set_identit
 MISS, COORDINATES = 2e-5, 150
 #: Standard deviations of the share of equal coordinates below the threshold, under which a pair isn't verified.
 DEVIATIONS = 5
-BLOCK = 256
+#: Rows of a bucket, and members of a head, that one unit of work takes; sketches are compared TILE by TILE.
+BLOCK, TILE = 8192, 256
 #: Shingles sketched at once in a Python worker (8 bytes each, a few copies).
 CHUNK = 400_000
 
@@ -54,7 +59,7 @@ def banding(percent: int) -> tuple[int, int]:
         bands = math.ceil(math.log(MISS) / math.log1p(-(j**rows)))
         if bands * rows <= COORDINATES:
             return bands, rows
-    return COORDINATES, 1
+    return bands, 1  # low thresholds take as many coordinates as MISS asks for
 
 
 def least_agreement(percent: int, coordinates: int) -> float:
@@ -87,7 +92,7 @@ def _sketch_rows(width: int, bands: int, rows: int):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ids, sets, held = [], [], 0
             for doc_id, raw in zip(batch.column(0).to_pylist(), raw_texts(batch, 1)):
                 s = shingle_set(ascii_words(raw), width)
@@ -108,84 +113,91 @@ def sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     return doc_texts(docs).mapInArrow(_sketch_rows(width, bands, rows), _SCHEMA)
 
 
-def _sets_of(docs: DataFrame, wanted: IdFilter, width: int) -> DataFrame:
-    words = docs.sparkSession.sparkContext.broadcast(wanted.words)
+def _sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(id, set) of at least the documents in `ids` (one column, distinct, checkpointed)."""
+    texts = doc_texts(docs).where("doc_id is not null")
+    count = ids.count()
+    words = None
+    if count * ID_BITS <= 2 * ID_FILTER_BITS:
+        words = docs.sparkSession.sparkContext.broadcast(IdFilter.build(ids, count).words)
+    else:
+        texts = texts.join(ids.toDF("doc_id"), "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep = IdFilter(words.value)
-        for batch in batches:
-            at = np.flatnonzero(keep.may_hold(batch.column(0).to_numpy(zero_copy_only=False)))
-            if len(at):
-                part = batch.take(pa.array(at))
+        keep = None if words is None else IdFilter(words.value)
+        for batch in sliced(batches):
+            part = batch if keep is None else batch.take(pa.array(np.flatnonzero(keep.may_hold(batch.column(0).to_numpy(zero_copy_only=False)))))
+            if part.num_rows:
                 sets = [shingle_set(ascii_words(raw), width).tobytes() for raw in raw_texts(part, 1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.large_binary()).cast(pa.binary())], ["id", "set"])
 
-    return doc_texts(docs).where("doc_id is not null").mapInArrow(run, "id long, set binary")
+    return texts.mapInArrow(run, "id long, set binary")
 
 
 def _confirm(percent: int):
+    """Links (u, v) from rows (a, block, b, set) in which a head, with no `b`, comes before the members of its block."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            ok = np.zeros(batch.num_rows, dtype=bool)
-            for i, (x, y) in enumerate(zip(a, b)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if percent * max(len(x), len(y)) <= 100 * min(len(x), len(y)):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    ok[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            at = pa.array(np.flatnonzero(ok))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], ["u", "v"])
+        at, heads = None, []
+        for batch in sliced(batches):
+            u, v = [], []
+            for a, block, b, raw in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                own = np.frombuffer(raw, np.uint64)
+                if (a, block) != at:
+                    at, heads = (a, block), []
+                if b is None:
+                    heads.append(own)  # rows that share an id may have several sets
+                elif any(_reaches(x, own, percent) for x in heads):
+                    u.append(a)
+                    v.append(b)
+            if u:
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
     return run
 
 
+def _reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if percent * max(len(x), len(y)) > 100 * min(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach `percent`; checkpointed."""
     pairs = cut(pairs)
-    wanted = IdFilter.build(pairs.select("a").union(pairs.select("b")).toDF("id"))
-    sets = cut(_sets_of(docs, wanted, width))
-    joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
-    return cut(joined.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(percent), "u long, v long"))
+    sets = cut(_sets_of(docs, cut(pairs.select("a").union(pairs.select("b")).toDF("id").distinct()), width))
+    hot = hot_groups(pairs, ["a"], BLOCK).select("a", F.ceil(F.col("n") / F.lit(BLOCK)).alias("blocks"))
+    placed = pairs.join(F.broadcast(hot), "a", "left").select("a", F.pmod(F.xxhash64("b"), F.coalesce("blocks", F.lit(1))).alias("block"), "b")
+    heads = placed.select("a", "block").distinct().join(sets.toDF("a", "set"), "a").select("a", "block", F.lit(None).cast("long").alias("b"), "set")
+    members = placed.join(sets.toDF("b", "set"), "b").select("a", "block", "b", "set")
+    together = heads.unionByName(members).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
+    return cut(together.mapInArrow(_confirm(percent), "u long, v long"))
 
 
 def _pairs_across(floor: float, percent: int):
-    """Candidate pairs between components within units of rows sorted by unit: (unit, id, comp, n, own, sketch)."""
-
-    def unit_pairs(ids, comp, n, at, sk) -> tuple[np.ndarray, np.ndarray]:
-        if len(ids) < 2 or (comp == comp[0]).all():
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        agree = np.stack([(sk == row).sum(axis=1) for row in sk])
-        lo, hi = np.minimum.outer(n, n), np.maximum.outer(n, n)
-        split = (at != at[0]).any()
-        good = (agree >= floor * sk.shape[1]) & (comp[:, None] != comp[None, :]) & (100 * lo >= percent * hi)
-        if split:
-            good &= at[:, None] != at[None, :]
-        i, j = np.nonzero(np.triu(good, 1))
-        return np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+    """Candidate pairs between components within units of rows sorted by unit: (unit, id, comp, n, side, sketch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            now = pa.Table.from_batches([batch])
-            now = pa.concat_tables([rest, now]).combine_chunks() if rest is not None else now
-            unit = now.column(0).to_numpy()
-            edge = np.flatnonzero(np.diff(unit)) + 1
-            last = edge[-1] if len(edge) else 0
-            yield from out(now.slice(0, last))
-            rest = now.slice(last)
-        if rest is not None:
-            yield from out(rest)
-
-    def out(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        if not rows.num_rows:
-            return
-        unit, ids, comp, n, at = (rows.column(k).to_numpy() for k in range(5))
-        sk = np.frombuffer(b"".join(rows.column(5).to_pylist()), np.uint16).reshape(len(ids), -1)
-        cuts = [0, *(np.flatnonzero(np.diff(unit)) + 1), len(unit)]
-        found = [unit_pairs(ids[p:q], comp[p:q], n[p:q], at[p:q], sk[p:q]) for p, q in zip(cuts, cuts[1:])]
-        a, b = np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
-        if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        for rows in units_of(batches):
+            ids, comp, n, side = (rows.column(k).to_numpy() for k in range(1, 5))
+            if (comp == comp[0]).all():
+                continue
+            sk = np.frombuffer(b"".join(rows.column(5).to_pylist()), np.uint16).reshape(len(ids), -1)
+            split = (side != side[0]).any()
+            for p in range(0, len(ids), TILE):
+                x = slice(p, p + TILE)
+                y = slice(p, None)  # pairs of earlier rows came in earlier tiles
+                good = (comp[x, None] != comp[None, y]) & (100 * np.minimum(n[x, None], n[None, y]) >= percent * np.maximum(n[x, None], n[None, y]))
+                if split:
+                    good &= side[x, None] != side[None, y]
+                i, j = np.nonzero(np.triu(good, 1))
+                for k in range(0, len(i), 1 << 16):
+                    a, b = i[k : k + (1 << 16)] + p, j[k : k + (1 << 16)] + p
+                    near = (sk[a] == sk[b]).sum(axis=1) >= floor * sk.shape[1]
+                    if near.any():
+                        a, b = ids[a[near]], ids[b[near]]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     return run
 
@@ -224,7 +236,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataF
     label = F.coalesce("component", "id").alias("comp")
     where = shared.select("band", "id").join(comp.withColumnRenamed("node", "id"), "id", "left").select("band", "id", label)
     mixed = where.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band")
-    open_rows = where.join(mixed, "band")
+    open_rows = cut(where.join(mixed, "band"))
     body = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch")
     units = block_units(open_rows, ["band"], "id", BLOCK).select("unit", "id", "comp", "side").join(body, "id")
     across = units.select("unit", "id", "comp", "n", "side", "sketch").repartition("unit").sortWithinPartitions("unit").mapInArrow(_pairs_across(floor, percent), "a long, b long").distinct()
@@ -237,14 +249,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataF
 def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """`docs` with one document of each group of near duplicates, all its columns as they are.
 
-    Of rows that share a doc_id one stays: that with the least text (null first).
-    Rows with a null doc_id all stay.
+    Of rows that share a doc_id one stays: that with the least text (null
+    first; of equal texts any one). Rows with a null doc_id all stay.
     """
     gone = cut(near_duplicates(docs, percent).where("not kept").select("doc_id").distinct())
     left = without_ids(docs, gone)
-    twice = cut(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    twice = cut(docs.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).count().where("count > 1").select("doc_id"))
     if twice.isEmpty():
         return left
-    again = twice.toDF("_again")
-    repeated = left.join(again, left["doc_id"] == again["_again"], "left_semi").orderBy("text").dropDuplicates(["doc_id"])
-    return without_ids(left, twice).unionByName(repeated)
+    again, row = fresh(docs, "again"), fresh(docs, "row")
+    held = left.join(twice.toDF(again), left["doc_id"].cast("long") == F.col(again), "left_semi")
+    text = F.col("text").cast("string")
+    one = held.groupBy(F.col("doc_id").cast("long").alias(again)).agg(F.min_by(F.struct(*[F.col(quoted(c)) for c in docs.columns]), F.struct(text.isNotNull().alias("has"), text.alias("text"))).alias(row))
+    return without_ids(left, twice).unionByName(one.select(f"{row}.*"))

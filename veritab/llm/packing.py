@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritab.llm.common import cut, doc_texts, prepare, quoted, raw_texts
+from veritab.llm.common import cut, doc_texts, prepare, quoted, raw_texts, sliced
 from veritab.llm.tokens import WordTokens
 
 ROOM = 2048
@@ -61,7 +61,7 @@ def _cut_pieces(path: str, room: int, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, ranks = TaskContext.get().partitionId(), np.zeros(room + 1, dtype=np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             ids, texts, held = [], [], 0
             for doc_id, raw in zip(batch.column(0).to_pylist(), raw_texts(batch, 1)):
                 ids.append(doc_id)

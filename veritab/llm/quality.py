@@ -9,7 +9,10 @@ and the score is that of the weighted sum of their representations:
     score = sigmoid(z . sum_k a_k h_k + b)
 
 Every passage of every text takes part in scoring. Fitting uses at most
-FIT_ROWS labelled documents of at most FIT_PASSAGES passages.
+FIT_ROWS labelled documents; of one with more than FIT_PASSAGES passages so
+many are taken at even distances, from its first to its last. The driver thus
+holds at most FIT_ROWS x FIT_PASSAGES passages of FEATURES numbers (37 MB, and
+about six times that while it fits).
 """
 
 from __future__ import annotations
@@ -22,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import doc_texts, prepare, raw_texts
+from veritab.llm.common import doc_texts, prepare, raw_texts, sliced
 from veritab.llm.hashing import mix, word_hashes
 from veritab.llm.labelled import held_out, sample
 from veritab.llm.words import COMMON_WORDS
 
 WORDS = 64
-FIT_ROWS, FIT_PASSAGES = 5_000, 400
+FIT_ROWS, FIT_PASSAGES = 5_000, 80
 HIDDEN, GATE, STEPS, SEED = 12, 8, 250, 11
 #: Bytes of text encoded at once.
 CHUNK = 2_000_000
@@ -153,14 +156,15 @@ def train(features: np.ndarray, sizes: np.ndarray, y: np.ndarray, steps: int = S
 
 
 def _encode_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw = raw_texts(batch, 1)
-        small = [i for i, t in enumerate(raw) if len(t or b"") <= 2 * FIT_PASSAGES * WORDS * 8]
-        x, sizes = encode_passages([raw[i] for i in small])
-        keep = np.flatnonzero(sizes <= FIT_PASSAGES)
-        ends = np.cumsum(sizes)
-        packed = [x[ends[k] - sizes[k] : ends[k]].astype(np.float32).tobytes() for k in keep]
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([small[k] for k in keep], pa.int64())), pa.array(packed, pa.binary())], ["label", "x"])
+    for batch in sliced(batches, 64):
+        x, sizes = encode_passages(raw_texts(batch, 1))
+        packed = []
+        for end, n in zip(np.cumsum(sizes).tolist(), sizes.tolist()):
+            own = x[end - n : end]
+            if n > FIT_PASSAGES:
+                own = own[np.linspace(0, n - 1, FIT_PASSAGES).round().astype(np.int64)]
+            packed.append(own.astype(np.float32).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["label", "x"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> GatedAttention:
@@ -188,7 +192,7 @@ def quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFra
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(y), pa.array((y >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ids, texts, held = [], [], 0
             for doc_id, raw in zip(batch.column(0).to_pylist(), raw_texts(batch, 1)):
                 ids.append(doc_id)

@@ -25,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritab.llm.common import block_units, cut, doc_texts, prepare
+from veritab.llm.common import block_units, cut, doc_texts, prepare, sliced, units_of
 from veritab.llm.hashing import _PLACE, mix, word_hashes
 from veritab.llm.words import COMMON_WORDS
 
 CHAIN, RUN, BLOCK = 2, 3, 512
+#: Bytes of input files for a range of ids at least, where there are more ranges than the session has shuffle partitions.
+RANGE_BYTES = 128 << 20
 _WORD = re.compile(r"\w+")
 _ANCHORS = np.sort(word_hashes([w.encode() for w in sorted(COMMON_WORDS)]))
 _LEAST = -(1 << 63)
@@ -96,7 +98,9 @@ def _in_order(docs: DataFrame) -> DataFrame:
     rows with that id also go, marked `ahead`, to the range before.
     """
     spark = docs.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # of the files; nothing is read for it
+    known = 0 < size < 1 << 60  # tables that aren't files have no known size
+    parts = min(10_000, max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), size // RANGE_BYTES if known else 1))
     rows = doc_texts(docs).select(F.coalesce("doc_id", F.lit(_LEAST)).alias("_id"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     splits = np.unique(np.array(rows.agg(F.percentile_approx("_id", [k / parts for k in range(1, parts)] or [0.5], 10_000)).first()[0] or [], dtype=np.int64))
 
@@ -117,7 +121,7 @@ def _in_order(docs: DataFrame) -> DataFrame:
     values = np.array([before[k] for k in keys.tolist()], dtype=np.int64)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ids = batch.column(0).to_numpy()
             at = np.searchsorted(splits, ids, side="right").astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.zeros(len(at), np.int32)), *batch.columns], ["bucket", "ahead", "_id", "doc_id", "text"])
@@ -134,7 +138,7 @@ def _in_order(docs: DataFrame) -> DataFrame:
 def _compare(chain: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the row that waits for its next one: (bucket, doc_id, text, signatures)
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for bucket, ahead, doc_id, text in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4))):
                 if held is not None and held[0] != bucket:
@@ -160,7 +164,7 @@ def fingerprints(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [signatures(t, chain) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([fingerprint(s) for s in sets]), pa.array([len(s) for s in sets], pa.int32())], ["doc_id", "fingerprint", "n_signatures"])
 
@@ -198,7 +202,7 @@ def similar(docs: DataFrame, least: float = 0.8, chain: int = CHAIN) -> tuple[Da
     members = made.join(classes.select("fingerprint", "class_id"), "fingerprint").select("doc_id", "class_id")
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [from_fingerprint(f) for f in batch.column(1).to_pylist()]
             n = np.array([len(s) for s in sets])
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), n)), pa.array(np.repeat(n, n)), pa.array(np.concatenate(sets).astype(np.int64))], ["id", "n", "sign"])
@@ -213,9 +217,7 @@ def similar(docs: DataFrame, least: float = 0.8, chain: int = CHAIN) -> tuple[Da
     spread = own.select("id", "n", "sign", F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from veritab.llm.embeddings import _units
-
-        def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        for rows in units_of(batches):
             ids, n, side = (rows.column(k).to_numpy() for k in ("id", "n", "side"))
             good = np.triu(np.minimum.outer(n, n) >= least * np.maximum.outer(n, n), 1)
             if (side != side[0]).any():
@@ -224,13 +226,11 @@ def similar(docs: DataFrame, least: float = 0.8, chain: int = CHAIN) -> tuple[Da
             if len(i):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], ["a", "b"])
 
-        yield from _units(batches, work)
-
-    units = block_units(spread, ["sign", "part"], "id", BLOCK).select("unit", "id", "n", "side")
+    units = block_units(cut(spread), ["sign", "part"], "id", BLOCK).select("unit", "id", "n", "side")
     found = cut(units.repartition("unit").sortWithinPartitions("unit").mapInArrow(pairs, "a long, b long").where("a <> b").distinct())
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             x = np.array([likeness(from_fingerprint(p), from_fingerprint(q), least) for p, q in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())])
             at = pa.array(np.flatnonzero(x >= least))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(x).take(at)], ["a", "b", "likeness"])

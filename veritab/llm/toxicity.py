@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import cut, doc_texts, prepare, without_ids
+from veritab.llm.common import cut, doc_texts, prepare, sliced, without_ids
 from veritab.llm.labelled import sample
 
 #: Labelled rows that are fitted on at most.
@@ -58,6 +58,33 @@ def features(text: str | None) -> Counter:
     return out
 
 
+class KeptWords:
+    """Counts of some features only. Most words have none of them: sets of words tell them apart, so only the others are looped over."""
+
+    def __init__(self, kept: Iterable[int], most: int = 300_000):
+        self.kept, self.most = frozenset(kept), most
+        self.known: set[str] = set()
+        self.live: dict[str, tuple[int, ...]] = {}
+
+    def counts(self, text: str | None) -> dict[int, int]:
+        """Feature number -> occurrences in the whole text, for the kept features."""
+        words = Counter(_WORD.findall((text or "").lower()))
+        new = words.keys() - self.known
+        if new:
+            if len(self.known) > self.most:
+                self.known, self.live, new = set(), {}, set(words)
+            self.known |= new
+            for word in new:
+                if hits := self.kept.intersection(_word_features(word)):
+                    self.live[word] = tuple(hits)
+        out: dict[int, int] = {}
+        for word in words.keys() & self.live.keys():
+            n = words[word]
+            for f in self.live[word]:
+                out[f] = out.get(f, 0) + n
+        return out
+
+
 @dataclass(frozen=True)
 class Severity:
     """A fitted model: sorted feature numbers, their weights, and the thresholds."""
@@ -72,20 +99,8 @@ class Severity:
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         known = dict(zip(self.numbers.tolist(), self.weights.tolist()))
-        seen: dict[str, tuple[tuple[int, float], ...]] = {}
-        out = np.zeros(len(texts))
-        for i, text in enumerate(texts):
-            counts: dict[int, int] = {}
-            for word in _WORD.findall((text or "").lower()):
-                hits = seen.get(word)
-                if hits is None:
-                    if len(seen) > 200_000:
-                        seen.clear()
-                    hits = seen[word] = tuple(f for f in sorted(set(_word_features(word))) if f in known)
-                for f in hits:
-                    counts[f] = counts.get(f, 0) + 1
-            out[i] = sum(known[f] * (1 + np.log(n)) for f, n in sorted(counts.items()))
-        return out
+        words = KeptWords(known)
+        return np.array([sum(known[f] * (1 + np.log(n)) for f, n in sorted(words.counts(text).items())) for text in texts], dtype=np.float64)
 
 
 NOTHING = Severity(np.empty(0, np.int64), np.empty(0), np.full(GRADES, 40.0))
@@ -93,9 +108,10 @@ NOTHING = Severity(np.empty(0, np.int64), np.empty(0), np.full(GRADES, 40.0))
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     docs = np.zeros((2, SPACE), dtype=np.int64)
-    for batch in batches:
+    for batch in sliced(batches):
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            docs[int(label > 0), np.fromiter(features(text), np.int64)] += 1
+            own = set().union(*map(_word_features, set(_WORD.findall((text or "").lower()))))
+            docs[int(label > 0), np.fromiter(own, np.int64, len(own))] += 1
     at = np.flatnonzero(docs.any(axis=0))
     for k in range(0, len(at), 65536):
         part = at[k : k + 65536]
@@ -103,11 +119,12 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _kept_counts(numbers: np.ndarray):
-    keep = set(numbers.tolist())
+    keep = numbers.tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [sorted((f, n) for f, n in features(t).items() if f in keep) for t in batch.column(1).to_pylist()]
+        words = KeptWords(keep)
+        for batch in sliced(batches):
+            rows = [sorted(words.counts(t).items()) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([[f for f, _ in r] for r in rows], pa.list_(pa.int64())), pa.array([[n for _, n in r] for r in rows], pa.list_(pa.int64()))], ["label", "features", "counts"]
             )
@@ -199,7 +216,7 @@ def severities(docs: DataFrame, model: Severity) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
-        for batch in batches:
+        for batch in sliced(batches, 8192):
             p = own.at_least(own.score(batch.column(1).to_pylist()))
             e = p.sum(axis=1)
             yield pa.RecordBatch.from_arrays(
