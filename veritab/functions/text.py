@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Look-alikes folded to one sign; deletions are in _DROPPED.
-_FOLD_FROM = "µ‐‑‒–—−‘’“”′ "
-_FOLD_TO = "μ------''\"\"' "
+_FOLD_FROM = "µμ‐‑‒–—−‘’“”′ "
+_FOLD_TO = "uu------''\"\"' "
 _DROPPED = "­"
 DEFAULT_CHAIN = ("nfkc", "lookalikes", "spaces", "lower")
 
@@ -30,7 +30,7 @@ def nfkc(text: pd.Series) -> pd.Series:
 
 
 def fold_confusables(text: Column) -> Column:
-    """One sign for micro and mu, for dashes, quotes, primes and no-break space; soft hyphens go."""
+    """The letter u for micro and mu, one sign each for dashes, quotes, primes and no-break space; soft hyphens go."""
     return F.translate(F.replace(text, F.lit(_DROPPED), F.lit("")), _FOLD_FROM, _FOLD_TO)
 
 

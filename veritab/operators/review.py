@@ -21,7 +21,14 @@ def last_writer(rows: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
 
 
 def qualified_id(source_id: Column, record_id: Column) -> Column:
-    return F.when(record_id.startswith(F.concat(source_id, F.lit(":"))), record_id).otherwise(F.concat_ws(":", source_id, record_id))
+    """A record's id with that of its source before it, always: a local id may itself begin like a source's. Without a source it stays as it is."""
+    return F.concat_ws(":", source_id, record_id)
+
+
+def ruling(verdict: Column) -> Column:
+    """A ruling in its stored form, or null where it is none: blanks and case don't count."""
+    said = F.lower(F.trim(verdict))
+    return F.when(said.isin(*VERDICTS), said)
 
 
 def resolve_upserts(new: DataFrame, accepted: DataFrame | None = None, key: str = "record_id", payload: str = "payload", seq: str = "seq") -> DataFrame:
@@ -43,6 +50,30 @@ def resolve_upserts(new: DataFrame, accepted: DataFrame | None = None, key: str
     return out.withColumn("outcome", F.when(fresh, "written").when(F.col(payload) == standing, "identical").otherwise("collision")).drop("_first", "_n", "_held")
 
 
+def writable(gated: DataFrame, lane: Sequence[str] = ()) -> DataFrame:
+    """What of gated records may be written: payload without the fields of the review lane, held (their names), qualified record_id, and refused (null, or why not).
+
+    `gated`: record_id, source_id, entity_type, allowed, and fields (array of
+    structs with field_name, value and source_id). Lane fields didn't block the
+    gate because they aren't part of the row; a record of nothing else is
+    refused, as is one whose fields cite several sources, since a record belongs
+    to one.
+    """
+    lane = list(lane)
+    kept = F.filter("fields", lambda f: ~f["field_name"].isin(lane)) if lane else F.col("fields")
+    names = F.transform(F.filter("fields", lambda f: f["field_name"].isin(lane)), lambda f: f["field_name"]) if lane else F.expr("cast(array() as array<string>)")
+    out = gated.withColumn("_kept", kept).withColumn("held", names)
+    cited = F.array_distinct(F.filter(F.transform("_kept", lambda f: f["source_id"]), lambda s: s.isNotNull() & (s != "")))
+    out = out.withColumn("_cited", cited)
+    refused = (
+        F.when(~F.coalesce("allowed", F.lit(False)), "gate").when((F.size("fields") > 0) & (F.size("_kept") == 0), "every_field_in_lane").when(F.size("_cited") > 1, "several_sources")
+        .when(F.coalesce(F.get("_cited", F.lit(0)), F.nullif(F.trim("source_id"), F.lit("")), F.lit("")) == "", "no_source")
+    )
+    body = F.to_json(F.struct("record_id", "entity_type", F.col("_kept").alias("fields")))
+    source = F.coalesce(F.get("_cited", F.lit(0)), F.col("source_id"))
+    return out.withColumn("refused", refused).withColumn("payload", body).withColumn("source_id", source).withColumn("record_id", qualified_id(source, F.col("record_id"))).drop("_kept", "_cited")
+
+
 def accepted_view(records: DataFrame, route: str | None = None, status: str | None = None, entity_type: str | None = None, limit: int = 100) -> DataFrame:
     """Accepted rows, newest first, filtered by what is given."""
     for c, v in (("route", route), ("source_status", status), ("entity_type", entity_type)):
@@ -53,7 +84,7 @@ def accepted_view(records: DataFrame, route: str | None = None, status: str | No
 
 def valid_adjudications(rulings: DataFrame, seq: str) -> DataFrame:
     """Rulings with a known verdict, the latest for each record and source."""
-    return last_writer(rulings.where(F.col("verdict").isin(*VERDICTS)), KEY, seq)
+    return last_writer(rulings.withColumn("verdict", ruling(F.col("verdict"))).where("verdict is not null"), KEY, seq)
 
 
 def adjudications(rulings: DataFrame, candidates: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from veritab.shipping import ship
 
-MODULES = ("queries_scores", "queries_corpus", "queries_sources")
+MODULES = ("queries_scores", "queries_corpus", "queries_sources", "queries_rules")
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}

@@ -7,14 +7,15 @@ records (they are never changed), the last for candidates and rulings.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from veritab.operators.calibration import VERDICTS
-from veritab.operators.review import KEY, last_writer, qualified_id, resolve_upserts
+from veritab.operators.graph import checkpointed
+from veritab.operators.review import KEY, last_writer, qualified_id, resolve_upserts, ruling, writable
 
 SCHEMAS = {
     "records": "record_id string, source_id string, entity_type string, route string, source_status string, composite double, payload string, written_at string, seq long",
@@ -49,15 +50,21 @@ class OutputTables:
     def adjudications(self) -> DataFrame:
         return last_writer(self._read("adjudications"), KEY, "seq")
 
-    def upsert(self, gated: DataFrame) -> DataFrame:
-        """Write those of `gated` (record columns, allowed boolean) that the gate lets in; returns each with its outcome: written, identical, collision or denied.
+    def upsert(self, gated: DataFrame, lane: Sequence[str] = ()) -> DataFrame:
+        """Write those of `gated` (record columns, allowed boolean) that the gate lets in; returns each with its outcome (written, identical, collision or denied) and why it was refused.
 
-        A record must name its source; its id is qualified by it.
+        With a `fields` column the payload is made here, without the fields of
+        the lane; see `writable`. A record must name its source; its id is
+        qualified by it. A second writer may append the same id at the same
+        time: which one stands is settled when the table is read.
         """
-        whole = gated.withColumn("record_id", qualified_id(F.col("source_id"), F.col("record_id")))
-        open_ = F.col("allowed") & (F.coalesce(F.trim("source_id"), F.lit("")) != "")
-        decided = resolve_upserts(whole.where(open_), self.records()).unionByName(whole.where(~F.coalesce(open_, F.lit(False))).withColumn("outcome", F.lit("denied")))
-        decided = decided.cache()
+        if "fields" in gated.columns:
+            whole = writable(gated, lane)
+        else:
+            named = F.coalesce(F.trim("source_id"), F.lit("")) != ""
+            whole = gated.withColumn("refused", F.when(~F.coalesce("allowed", F.lit(False)), "gate").when(~named, "no_source")).withColumn("record_id", qualified_id(F.col("source_id"), F.col("record_id")))
+        fit = resolve_upserts(whole.where("refused is null"), self.records())
+        decided = checkpointed(fit.unionByName(whole.where("refused is not null").withColumn("outcome", F.lit("denied"))))
         self._append("records", decided.where("outcome = 'written'"))
         return decided
 
@@ -66,6 +73,6 @@ class OutputTables:
 
     def record_adjudications(self, rows: DataFrame) -> DataFrame:
         """Write rulings with a known verdict; returns those that were refused."""
-        known = F.coalesce(F.col("verdict").isin(*VERDICTS), F.lit(False))
-        self._append("adjudications", rows.where(known))
-        return rows.where(~known)
+        said = rows.withColumn("_said", ruling(F.col("verdict")))
+        self._append("adjudications", said.where("_said is not null").withColumn("verdict", F.col("_said")))
+        return said.where("_said is null").drop("_said")

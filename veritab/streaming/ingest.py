@@ -39,7 +39,7 @@ def run_available(rows: DataFrame, checkpoint: str, each: Callable[[DataFrame, i
 
 def upsert_stream(rows: DataFrame, tables: OutputTables, checkpoint: str, gate: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
     """Gate and write a stream of records. A batch that is run again finds its rows written, and identical ones change nothing."""
-    return run_available(rows, checkpoint, lambda batch, _: tables.upsert(gate(batch)).unpersist() and None)
+    return run_available(rows, checkpoint, lambda batch, _: tables.upsert(gate(batch)) and None)
 
 
 def fused(each: Callable[[DataFrame, int], None], fuse: Fuse, tokens: str = "tokens") -> Callable[[DataFrame, int], None]:
