@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and works on what its predecessor kept.
 All but the last return the columns of `docs`; the last returns the packed
 pieces.
+
+In every stage a null or empty text is a document without words, rows may
+repeat, an empty table gives an empty one, and further columns, whatever their
+names, are carried along. Rows without a doc_id are never near copies or toxic,
+so they stay to the end.
 """
 
 from __future__ import annotations
@@ -19,8 +24,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with lines found in three or more left only in the one with the largest id."""
-    return linededup.drop_repeated_lines(docs)
+    """Documents with lines found in three or more left only in the one with the largest id.
+
+    A document of which nothing is left goes: all it said stands in others, and
+    an empty text would be mixed and packed like any other.
+    """
+    return linededup.drop_repeated_lines(docs, drop_emptied=True)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
