@@ -68,7 +68,8 @@ def title_key(title: Column) -> Column:
     return F.array_join(F.regexp_extract_all(F.lower(F.regexp_replace(plain, r"<[^>]*>", " ")), F.lit("[a-z0-9]+"), F.lit(0)), " ")
 
 
-_CORRECTION = r"(?i)^\s*(?:correction|corrigendum|erratum|retraction|addendum)(?:\s+(?:to|for|of|notice))?\s*[:.\-]?\s*"
+_NOTICES = "correction corrigendum erratum addendum retraction"
+_CORRECTION = r"(?i)^\s*(?:(?:author|publisher)\s)?(?:" + _NOTICES.replace(" ", "|") + r")\b\s*(?:for\b|to\b)?\s*:*\s*"
 
 
 def is_correction_title(title: Column) -> Column:

@@ -85,7 +85,7 @@ def repeated_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _TITLES = [
     (1, "<i>E. coli</i> &amp; phages", "e coli phages", False, "<i>E. coli</i> &amp; phages"), (2, "Correction to: The Thing", "correction to the thing", True, "The Thing"), (3, "Erratum: A second look", "erratum a second look", True, "A second look"),
-    (4, "  Growth, of 3 things. ", "growth of 3 things", False, "  Growth, of 3 things. "), (5, "", "", False, ""), (6, "Corrections of vision", "corrections of vision", False, "Corrections of vision"), (7, "RETRACTION NOTICE: Bad data", "retraction notice bad data", True, "Bad data"),
+    (4, "  Growth, of 3 things. ", "growth of 3 things", False, "  Growth, of 3 things. "), (5, "", "", False, ""), (6, "Corrections of vision", "corrections of vision", False, "Corrections of vision"), (7, "RETRACTION NOTICE: Bad data", "retraction notice bad data", True, "NOTICE: Bad data"), (8, "Author Correction: A thing", "author correction a thing", True, "A thing"),
 ]
 
 
