@@ -22,7 +22,7 @@ def papers(spark, rows):
 def test_registry_is_sequential(spark):
     """A duplicate registers nothing: its other identifiers don't become keys."""
     rows = [{"doi": "10.1/A"}, {"doi": "https://doi.org/10.1/a", "pmid": "7"}, {"pmid": "7"}, {"pmid": "7", "s2": "x"}, {"s2": "x"}, {"s2": "x"}]
-    got = {r["ord"]: (r["verdict"], r["match"]) for r in corpus.dedupe_identifiers(papers(spark, rows), graph.connected).collect()}
+    got = {r["ord"]: (r["verdict"], r["match"]) for r in corpus.dedupe_identifiers(papers(spark, rows)).collect()}
     assert got == {0: ("new", None), 1: ("doi", "10.1/a"), 2: ("new", None), 3: ("pmid", "7"), 4: ("new", None), 5: ("source_id", "p4")}
 
 
@@ -31,7 +31,7 @@ def test_fuzzy_titles_and_corrections(spark):
         {"title": "A study of mice and men in the old town"}, {"title": "A study of mice and men in the old towns", "year": 2020}, {"title": "Erratum: A study of mice and men in the old town"},
         {"title": "Correction to something else entirely that nobody has seen"}, {"title": "Quite different"},
     ]
-    got = {r["ord"]: r for r in corpus.dedupe(papers(spark, rows), graph.connected).collect()}
+    got = {r["ord"]: r for r in corpus.dedupe(papers(spark, rows)).collect()}
     assert [got[k]["verdict"] for k in range(5)] == ["new", "fuzzy_flagged", "correction_of", "correction_of", "new"]
     assert got[1]["match"] == "p0" and got[1]["needs_review"] and not got[1]["is_duplicate"] and got[3]["match"] is None
 

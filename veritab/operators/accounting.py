@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veritab.functions.numbers import half_even, usage_tokens
@@ -44,16 +46,30 @@ def projection(usage: DataFrame, units: int, prices: dict[str, float] | None = N
 
 def fuse(usage: DataFrame, order: list[str], max_calls: int, max_tokens: int, scope: str | None = None) -> DataFrame:
     """Running calls and work tokens in order within each scope, and the ceiling that a row is the first to pass."""
+    keys = [scope] if scope else []
+    run = running(usage, [*[F.col(k).asc_nulls_first() for k in keys], *[F.col(c) for c in order]], {"calls": F.lit(1), "tokens": work()})
     if scope:
-        w = Window.partitionBy(scope).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        run = usage.withColumn("calls", F.count("*").over(w)).withColumn("tokens", F.sum(work()).over(w))
-    else:
-        run = running(usage, [F.col(c) for c in order], {"calls": F.lit(1), "tokens": work()})
+        # sums over all scopes, less what stood before each: a scope of any size is spread over ranges
+        first = run.groupBy(scope).agg(F.min("calls").alias("_c"), F.min_by(F.col("tokens") - work(), "calls").alias("_t")).withColumnRenamed(scope, "_scope")
+        run = run.join(first, run[scope].eqNullSafe(first["_scope"])).withColumn("calls", F.col("calls") - F.col("_c") + 1).withColumn("tokens", F.col("tokens") - F.col("_t")).drop("_scope", "_c", "_t")
     over = F.when(F.col("calls") > max_calls, "calls").when(F.col("tokens") > max_tokens, "tokens")
     first = (F.col("calls") == max_calls + 1) | ((F.col("tokens") > max_tokens) & (F.col("tokens") - work() <= max_tokens))
     return run.withColumn("tripped", over).withColumn("first_trip", over.isNotNull() & first)
 
 
+def call_timeout(size: Column, base: float = 420, per_kb: float = 12, most: int = 1800) -> Column:
+    """Seconds that one call on a source of `size` bytes may take; an unknown size counts as 40 kB."""
+    kb = F.coalesce(size / F.lit(1024.0), F.lit(40.0))
+    return F.least(F.floor(F.lit(float(base)) + kb * F.lit(float(per_kb))).cast("int"), F.lit(most))
+
+
+def iso_utc(at: Column) -> Column:
+    """ISO 8601 text of a timestamp in UTC (the session's time zone must be it); whole seconds have no fraction."""
+    whole = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
+    fraction = F.date_format(at, "SSSSSS")
+    return F.concat(whole, F.when(fraction != "000000", F.concat(F.lit("."), fraction)).otherwise(""), F.lit("+00:00"))
+
+
 @dataclass
 class Fuse:
     """Ceilings of a running job, counted on the driver; passing one raises, and it may only be raised on purpose."""
@@ -63,6 +79,14 @@ class Fuse:
     calls: int = 0
     tokens: int = 0
 
+    @classmethod
+    def from_environment(cls, env: Mapping[str, str] | None = None, calls: int = 400, tokens: int = 20_000_000) -> Fuse:
+        """Ceilings from VERITAB_MAX_CALLS and VERITAB_MAX_TOKENS; what isn't a positive whole number leaves the default."""
+        env = os.environ if env is None else env
+        said = {k: env.get(f"VERITAB_MAX_{k.upper()}", "") for k in ("calls", "tokens")}
+        read = {k: int(v) if v.strip().isdigit() and int(v) > 0 else None for k, v in said.items()}
+        return cls(read["calls"] or calls, read["tokens"] or tokens)
+
     def record(self, tokens: int) -> None:
         self.calls += 1
         self.tokens += max(0, int(tokens))

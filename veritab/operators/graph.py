@@ -4,18 +4,24 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage in the shared folder of the session; a local session without one gets a temporary folder."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder; a local session without one gets a temporary folder."""
+    sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if named is None and not sc.master.startswith("local"):
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="veritab-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage in the shared folder of the session."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

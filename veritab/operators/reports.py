@@ -26,6 +26,14 @@ def run_totals(runs: DataFrame) -> DataFrame:
     )
 
 
+def progress(papers: DataFrame, stores: DataFrame, runs: DataFrame) -> DataFrame:
+    """(source_id, state) of a project's papers: no_store, to_do, or the state of the latest run (source_id, state, seq)."""
+    last = runs.groupBy("source_id").agg(F.max_by("state", "seq").alias("_state"))
+    held = stores.select("source_id").distinct().withColumn("_held", F.lit(True))
+    out = papers.select("source_id").distinct().join(held, "source_id", "left").join(last, "source_id", "left")
+    return out.select("source_id", F.when(F.col("_held").isNull(), "no_store").otherwise(F.coalesce("_state", F.lit("to_do"))).alias("state"))
+
+
 def judge_scope(selected: DataFrame) -> DataFrame:
     """Records of each state of selection, and how many of them the judge sees."""
     return selected.groupBy("state").agg(F.count("*").alias("n"), F.count_if("to_judge").alias("n_judged"))

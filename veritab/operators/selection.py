@@ -95,3 +95,34 @@ def question_catalogue(fields: DataFrame, records: DataFrame, alignment: DataFra
     for r in rows[1:]:
         out = out.unionByName(r)
     return out.distinct()
+
+
+def run_questions(alignment: DataFrame, values: DataFrame, judged: DataFrame, blocked: DataFrame, failures: DataFrame, dropped: DataFrame, runs: DataFrame, lane: tuple[str, ...] = ()) -> DataFrame:
+    """(source_id, kind, about): what a run leaves to a person, one row a question.
+
+    alignment: source_id, identity, found_by_passes, identity_tier, anchor_unique. One found by a single pass asks about scope; else one matched
+    by order alone is weak, and one anchored on a quote that occurs again is ambiguous.
+    values: source_id, record_id, field_name, ambiguous; fields of the lane always differ and ask nothing.
+    judged: source_id, record_id, kind (no_verdict, judge_veto, audit_disagreement, colliding_record_id). blocked: source_id, n records that no
+    search for counter-evidence was completed for; one question a source. failures: source_id, pass, why. dropped: source_id, record_id, why;
+    a value without any quote asks nothing. runs: source_id, state; error and incomplete ones ask.
+    """
+    def ask(df: DataFrame, kind: Column, about: Column) -> DataFrame:
+        return df.select("source_id", kind.alias("kind"), about.cast("string").alias("about")).where("kind is not null")
+
+    tier = F.col("identity_tier")
+    scope = F.when(F.col("found_by_passes") == 1, "scope_disagreement").when(tier == "ordinal", "weak_identity").when((tier == "anchored") & ~F.coalesce("anchor_unique", F.lit(True)), "ambiguous_anchor")
+    state = F.when(F.col("state") == "error", "paper_failed").when(F.col("state") == "incomplete", "verification_skipped")
+    parts = [
+        ask(alignment, scope, F.col("identity")),
+        ask(values.where(F.col("ambiguous") & ~F.col("field_name").isin(list(lane))), F.lit("no_consensus_value"), F.concat_ws("/", "record_id", "field_name")),
+        ask(judged, F.when(F.col("kind").isin("no_verdict", "judge_veto", "audit_disagreement", "colliding_record_id"), F.col("kind")), F.col("record_id")),
+        ask(blocked.where("n > 0"), F.lit("verification_unusable"), F.col("n")),
+        ask(failures, F.lit("pass_failed"), F.concat_ws(": ", "pass", "why")),
+        ask(dropped.where("why <> 'no quote'"), F.lit("unanchorable_quote"), F.col("record_id")),
+        ask(runs, state, F.col("state")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritab.functions import text as tx
-from veritab.operators import accounting, corpus, graph, mapping, merge, reports, review, selection, spans
+from veritab.operators import accounting, corpus, mapping, merge, reports, review, selection, spans
 from veritab.plans import inputs as src
 from veritab.plans.inputs import table
 from veritab.plans.registry import query
@@ -189,7 +189,7 @@ SELECT ord, verdict, verdict = 'new' AS registered FROM step WHERE k > 0""",
 )
 def dedup_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Duplicate papers by identifier, as if registered one after another."""
-    return corpus.dedupe_identifiers(_papers(spark, sf_dir), graph.connected).select("ord", "verdict", "registered")
+    return corpus.dedupe_identifiers(_papers(spark, sf_dir)).select("ord", "verdict", "registered")
 
 
 @query("dedup_fuzzy")
@@ -197,7 +197,7 @@ def dedup_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole registry with titles compared by a sequence matcher, which SQL lacks: the first line is the title."""
     papers = _papers(spark, sf_dir).drop("title")
     titles = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), F.substring_index("text", "\n", 1).alias("title"))
-    return corpus.dedupe(papers.join(titles, "ord"), graph.connected)
+    return corpus.dedupe(papers.join(titles, "ord"))
 
 
 _ROUTED = "SELECT doc_id AS ord, CAST(doc_id AS STRING) AS source_id, CASE WHEN doc_id % 6 < 4 THEN '10.1/' || CAST(doc_id // 3 AS STRING) END AS doi, CASE doc_id % 5 WHEN 0 THEN 'full_text' WHEN 1 THEN 'local_pdf' WHEN 2 THEN 'abstract_only' WHEN 3 THEN 'retracted' ELSE 'abstract_only' END AS route FROM documents"

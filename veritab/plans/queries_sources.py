@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from veritab.functions.grounding import ground_literature, judge_verdicts, lexical_score
 from veritab.operators import accounting
 from veritab.operators.gate import Policy, reason_codes
+from veritab.operators.graph import checkpointed
 from veritab.operators.merge import Identity
 from veritab.plans import replay
 from veritab.plans.inputs import table
@@ -157,22 +158,33 @@ def usage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounting.usage_rows(table(spark, sf_dir, "events").select("event_id", usage.alias("usage")))
 
 
-@query("replay_records")
-def replay_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as sources, read in three passes, merged, anchored, grounded, scored and gated; saved verdicts stand for the judge."""
+def passes_of_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records, fields, sources): orders as sources whose items were read in three passes; the third misreads some quantities."""
     li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("source_id"), F.col("l_partkey").cast("string").alias("code"), F.col("l_quantity").cast("int").cast("string").alias("qty"), F.col("l_linenumber").alias("line"))
-    items = li.groupBy("source_id", "code").agg(F.min("qty").alias("qty"), F.min("line").alias("line"))
+    items = checkpointed(li.groupBy("source_id", "code").agg(F.min("qty").alias("qty"), F.min("line").alias("line")))
     passes = items.withColumn("pass_ix", F.explode(F.sequence(F.lit(0), F.lit(2)))).withColumn("rec_ix", F.col("code").cast("int"))
     records = passes.select("source_id", "pass_ix", "rec_ix", F.concat(F.lit("r"), "code").alias("record_id"), F.lit("item").alias("entity_type"), F.lit(False).alias("review_only"), F.lit(None).cast("string").alias("review_reason"))
     quote = F.concat(F.lit("item "), "code", F.lit(" x "), "qty", F.lit(";"))
     said = F.when((F.col("pass_ix") == 2) & (F.col("line") % 3 == 0), F.lit("0")).otherwise(F.col("qty"))
     fields = passes.select("source_id", "pass_ix", "rec_ix", F.explode(F.array(F.struct(F.lit(0).alias("ord"), F.lit("code").alias("field_name"), F.col("code").alias("value")), F.struct(F.lit(1).alias("ord"), F.lit("qty").alias("field_name"), said.alias("value")))).alias("f"), quote.alias("quote"))
-    fields = fields.select("source_id", "pass_ix", "rec_ix", "f.*", "quote")
     text = items.groupBy("source_id").agg(F.array_join(F.array_sort(F.collect_list(quote)), " ").alias("text"))
     sources = text.withColumn("source_status", F.when(F.col("source_id").cast("int") % 10 == 0, "retracted").otherwise("active"))
-    _, merged = replay.merged_records(records, fields, Identity.of("code"), 3)
-    ids = merged.select("source_id", "record_id").distinct()
-    verdicts = ids.withColumn("verdict", F.when(F.xxhash64("record_id") % 5 != 0, "supported").otherwise("partial"))
-    none = ids.where("false").withColumn("field_name", F.lit(""))
+    return records, fields.select("source_id", "pass_ix", "rec_ix", "f.*", "quote"), sources
+
+
+@query(
+    "replay_records",
+    """WITH li AS (SELECT CAST(l_orderkey AS VARCHAR) AS source_id, CAST(l_partkey AS VARCHAR) AS code, min(l_linenumber) AS line FROM lineitem GROUP BY 1, 2),
+r AS (SELECT source_id, 'r' || code AS record_id, line % 3 = 0 AS misread, CAST(code AS INT) % 5 = 0 AS unsupported, CAST(source_id AS INT) % 10 = 0 AS retracted FROM li),
+c AS (SELECT *, list_filter([CASE WHEN misread THEN 'composite_below_bar' END, CASE WHEN unsupported THEN 'judge' END, CASE WHEN retracted THEN 'source_status' END, CASE WHEN retracted THEN 'source_status' END], lambda x: x IS NOT NULL) AS codes FROM r)
+SELECT source_id, record_id, CASE WHEN misread THEN (0.35::DOUBLE + 0.15::DOUBLE * (2.0::DOUBLE / 3)) / 0.5::DOUBLE ELSE 1.0::DOUBLE END AS composite, len(codes) = 0 AS allowed, array_to_string(codes, ',') AS codes FROM c""",
+)
+def replay_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as sources, read in three passes, merged, anchored, grounded, scored and gated; saved verdicts stand for the judge."""
+    records, fields, sources = passes_of_orders(spark, sf_dir)
+    aligned, merged = replay.merged_records(records, fields, Identity.of("code"), 3)
+    ids = aligned.select("source_id", F.col("merged_id").alias("record_id"))
+    verdicts = ids.withColumn("verdict", F.when(F.substring("record_id", 2, 20).cast("int") % 5 != 0, "supported").otherwise("partial"))
+    none = spark.createDataFrame([], "source_id string, record_id string, field_name string")
     out = replay.gate_records(merged, sources, none, ids, verdicts, 3, Policy())
     return out.select("source_id", "record_id", "composite", "allowed", F.array_join(F.array_sort(reason_codes(F.col("reasons"))), ",").alias("codes"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from veritab.shipping import ship
 
-MODULES = ("queries_scores", "queries_corpus", "queries_sources", "queries_rules")
+MODULES = ("queries_scores", "queries_corpus", "queries_sources", "queries_rules", "queries_flows")
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
@@ -52,6 +52,11 @@ def oracle_sql() -> dict[str, str]:
     return dict(_ORACLES)
 
 
+def oracle_of(name: str) -> str:
+    """SQL of a query that has been registered already."""
+    return _ORACLES[name]
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which records are safe to publish, and why each other one was denied."""
     return queries()["gate_decision"](spark, sf_dir)

@@ -20,14 +20,19 @@ def read_stream(spark: SparkSession, path: str, schema: str, files_per_trigger:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
+def _timed(rows: DataFrame, at: str) -> DataFrame:
+    """Event times without a zone are read in the session's."""
+    return rows.withColumn(at, F.col(at).cast("timestamp"))
+
+
 def first_seen(rows: DataFrame, keys: list[str], at: str, delay: str) -> DataFrame:
     """Rows whose key hasn't come before within the watermark: a repeated delivery is dropped."""
-    return rows.withWatermark(at, delay).dropDuplicatesWithinWatermark(keys)
+    return _timed(rows, at).withWatermark(at, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def windowed_usage(rows: DataFrame, at: str = "ts", delay: str = "10 minutes", width: str = "1 hour") -> DataFrame:
     """Calls and tokens by stage in windows of time; a window closes when the watermark passes it."""
-    return rows.withWatermark(at, delay).groupBy(F.window(at, width), "stage").agg(F.count("*").alias("calls"), F.sum("tokens").alias("tokens"))
+    return _timed(rows, at).withWatermark(at, delay).groupBy(F.window(at, width), "stage").agg(F.count("*").alias("calls"), F.sum("tokens").alias("tokens"))
 
 
 def run_available(rows: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
