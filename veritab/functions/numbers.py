@@ -19,7 +19,7 @@ def as_number(text: Column) -> Column:
     body = collapse_spaces(fold_confusables(text))
     number = F.regexp_extract(body, "^[+-]?[0-9][0-9,]*[.]?[0-9]*(?:[Ee][+-]?[0-9]+)?", 0)
     rest = F.substring(body, F.length(number) + 1, F.length(body))
-    return F.when((number != "") & ~rest.startswith("-"), F.replace(number, F.lit(","), F.lit("")).try_cast("double"))
+    return F.when((number != "") & ~rest.startswith("-"), F.replace(number, F.lit(","), F.lit("")).try_cast("double"))  # the pattern lets few pass that fail
 
 
 def strict_number(text: Column) -> Column:
@@ -38,8 +38,9 @@ def count_or_range(text: Column) -> Column:
     """(lo, hi) of a count, or of a range "lo-hi" / "lo to hi" in rising order; null otherwise."""
     body = F.trim(text)
     one = whole_number(body)
-    lo = F.regexp_extract(body, r"^(\d{1,18})\s*(?:-|–|to)\s*(\d{1,18})$", 1).try_cast("long")
-    hi = F.regexp_extract(body, r"^(\d{1,18})\s*(?:-|–|to)\s*(\d{1,18})$", 2).try_cast("long")
+    pair = r"^(\d{1,18})\s*(?:-|–|to)\s*(\d{1,18})$"
+    # a cast that fails is slow, so only what fits is cast
+    lo, hi = (F.when(body.rlike(pair), F.regexp_extract(body, pair, k).cast("long")) for k in (1, 2))
     return F.when(one.isNotNull(), F.struct(one.alias("lo"), one.alias("hi"))).when(lo <= hi, F.struct(lo.alias("lo"), hi.alias("hi")))
 
 

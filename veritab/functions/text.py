@@ -26,7 +26,17 @@ DEFAULT_CHAIN = ("nfkc", "lookalikes", "spaces", "lower")
 @F.pandas_udf(T.StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Unicode compatibility composition; null stays null."""
-    return text.map(lambda s: None if s is None else unicodedata.normalize("NFKC", s))
+    told = text.notna()
+    out = pd.Series([None] * len(text), dtype=object)
+    if told.any():
+        out[told.to_numpy()] = text[told].map(lambda s: unicodedata.normalize("NFKC", s)).to_numpy()
+    return out
+
+
+def compatible(text: Column) -> Column:
+    """NFKC; only texts with signs beyond ASCII, which it could change, are sent to Python."""
+    plain = text.rlike(r"^[\x00-\x7F]*$")
+    return F.coalesce(F.when(plain, text), nfkc(F.when(~plain, text)))
 
 
 def fold_confusables(text: Column) -> Column:
@@ -43,7 +53,7 @@ def drop_punctuation(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)[:;,._\s-]+", "")
 
 
-_STEPS = {"nfkc": nfkc, "lookalikes": fold_confusables, "spaces": collapse_spaces, "lower": F.lower, "no_punctuation": drop_punctuation}
+_STEPS = {"nfkc": compatible, "lookalikes": fold_confusables, "spaces": collapse_spaces, "lower": F.lower, "no_punctuation": drop_punctuation}
 
 
 def normalize(text: Column, chain: Sequence[str] = DEFAULT_CHAIN) -> Column:

@@ -10,6 +10,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over all cores where its files give fewer splits than there are, as one small file does; tables of many splits stay as they are.
+
+    For steps that work long on each row: the rows are narrow, moving them is
+    cheaper than leaving cores idle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 #: Three passes over the price of a line item: the second strays by up to 5 %, the third is at times missing.
 PASS_1 = "l_extendedprice"
 PASS_2 = "l_extendedprice * CASE l_orderkey % 3 WHEN 0 THEN CAST(1 AS DOUBLE) WHEN 1 THEN CAST(1.004 AS DOUBLE) ELSE CAST(1.05 AS DOUBLE) END"

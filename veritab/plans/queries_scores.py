@@ -9,7 +9,7 @@ from veritab.functions.once import once
 from veritab.operators import agreement as ag
 from veritab.operators import calibration as cal
 from veritab.operators import gate, reports, scoring, selection
-from veritab.operators.uncertainty import uncertainty_reasons
+from veritab.operators.uncertainty import with_uncertainty
 from veritab.plans import inputs as src
 from veritab.plans.inputs import table
 from veritab.plans.registry import query
@@ -154,8 +154,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(greatest(n1, n2, n3)
 def agree_k3_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Agreement of three passes over a number, within one per cent."""
     number = lambda e: F.when(F.expr(e).isNotNull(), F.struct(F.expr(e).cast("string").alias("text"), F.expr(e).alias("number"), F.lit("").alias("key")))
-    a = ag.agreement(F.array(number(src.PASS_1), number(src.PASS_2), number(src.PASS_3)))
-    return table(spark, sf_dir, "lineitem").withColumn("a", a).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "a.c_ensemble", "a.n_agreeing", "a.n_missing", "a.ambiguous")
+    li = src.spread(table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *[number(e).alias(f"p{k}") for k, e in enumerate((src.PASS_1, src.PASS_2, src.PASS_3))])
+    return ag.with_agreement(li, ["p0", "p1", "p2"], "a").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "a.c_ensemble", "a.n_agreeing", "a.n_missing", "a.ambiguous")
 
 
 @query(
@@ -171,7 +171,7 @@ def agree_k3_string(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey", F.col("p_type").alias("a"), F.expr("CASE WHEN p_partkey % 2 = 0 THEN '  ' || lower(p_type) ELSE p_brand END").alias("b"), F.expr("CASE p_partkey % 3 WHEN 0 THEN NULL WHEN 1 THEN p_type || ' ' ELSE upper(p_brand) END").alias("c")
     )
     steps = ("lookalikes", "spaces", "lower")
-    out = v.withColumn("r", ag.agreement(F.array(*[ag.comparable(F.col(x), steps) for x in "abc"])))
+    out = ag.with_agreement(v.select("p_partkey", *[ag.comparable(F.col(x), steps).alias(x) for x in "abc"]), ["a", "b", "c"], "r")
     return out.select("p_partkey", "r.c_ensemble", "r.n_agreeing", "r.n_missing", F.lower(F.trim("r.modal")).alias("modal_key"))
 
 
@@ -182,8 +182,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN c IS NOT NULL T
 )
 def consistency_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far passes stray from each other; unknown where one is missing."""
-    c = ag.consistency(F.array(F.expr(src.PASS_1), F.expr(src.PASS_2), F.expr(src.PASS_3)))
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(c, 6).alias("c_consistency"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *[F.expr(e).alias(f"p{k}") for k, e in enumerate((src.PASS_1, src.PASS_2, src.PASS_3))])
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(ag.consistency_of([F.col("p0"), F.col("p1"), F.col("p2")]), 6).alias("c_consistency"))
 
 
 @query(
@@ -313,13 +313,10 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, list_aggregate(list_sort(
 )
 def uncertainty_reasons_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is wrong with the declared spread of a measured value."""
-    table(spark, sf_dir, "lineitem").createOrReplaceTempView("_uncertainty_lines")
+    src.spread(table(spark, sf_dir, "lineitem")).createOrReplaceTempView("_uncertainty_lines")
     rows = spark.sql(_COMPANIONS.replace("FROM lineitem", "FROM _uncertainty_lines"))
-    why = uncertainty_reasons({c: F.col(c) for c in ("v", *_ROLES.values())}, {"v": _ROLES})
-    codes = once(F.array_join(F.array_sort(gate.reason_codes(why)), ","), lambda c: F.when(c != "", c))
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", codes.alias("codes"))
-
-
+    told = with_uncertainty(rows, {c: F.col(c) for c in ("v", *_ROLES.values())}, {"v": _ROLES}, "why")
+    return told.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("why_codes").alias("codes"))
 
 
 @query("denial_totals", f"WITH {_FIELDS_SQL} SELECT code, count(DISTINCT record_id) AS n FROM reasons GROUP BY code ORDER BY n DESC, code LIMIT 8")
