@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veritab.functions import text as tx
@@ -140,29 +140,30 @@ def entity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TERMS, _NOT = ("with", "stupid"), ("trash",)
-_RX = {t: rf"(?i)\b{t}(?:e?s)?\b" for t in (*_TERMS, *_NOT)}
+#: The engine's boundary is between letters of any script; DuckDB's \\b knows ASCII only, so there it is written out.
+_RX = {t: rf"(?i)(?:^|[^\p{{L}}\p{{M}}\p{{N}}_]){t}(?:e?s)?(?:$|[^\p{{L}}\p{{M}}\p{{N}}_])" for t in (*_TERMS, *_NOT)}
 
 
 @query(
     "screen_corpus",
-    f"""WITH s AS (SELECT doc_id AS source_id, substr(text, 1, 3000) AS head, length(text) AS n FROM documents WHERE lang = 'en')
+    f"""WITH s AS (SELECT doc_id AS source_id, substr(text, 1, 3000) AS head, length(text) AS n FROM documents)
 SELECT source_id, CASE WHEN n = 0 OR n IS NULL THEN 'uncertain' WHEN regexp_matches(head, '{_RX['trash']}') THEN 'excluded' WHEN regexp_matches(head, '{_RX['with']}') OR regexp_matches(head, '{_RX['stupid']}') THEN 'present' ELSE 'uncertain' END AS verdict,
   CASE WHEN n = 0 OR n IS NULL THEN 'empty' ELSE 'head:' || CAST(least(3000, n) AS STRING) END AS scope FROM s""",
 )
 def screen_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the head of each source names a term; a miss there is uncertain, not absent. The head is the operator's own."""
-    docs = table(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("doc_id").alias("source_id"), "text")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("source_id"), "text")
     return corpus.screen_corpus(docs, require_any=_TERMS, exclude_any=_NOT).select("source_id", "verdict", "scope")
 
 
 @query(
     "screen_full_text_counts",
     f"""SELECT CASE WHEN text = '' OR text IS NULL THEN 'uncertain' WHEN regexp_matches(text, '{_RX['trash']}') THEN 'excluded' WHEN regexp_matches(text, '{_RX['with']}') OR regexp_matches(text, '{_RX['stupid']}') THEN 'present' ELSE 'absent' END AS verdict, count(*) AS n
-FROM documents WHERE lang = 'en' GROUP BY 1""",
+FROM documents GROUP BY 1""",
 )
 def screen_full_text_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of verdicts where the whole text was searched: a miss is an absence."""
-    docs = table(spark, sf_dir, "documents").where("lang = 'en'").select(F.col("doc_id").alias("source_id"), "text")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("source_id"), "text")
     return corpus.screen_counts(corpus.screen_corpus(docs, require_any=_TERMS, exclude_any=_NOT, full_text=True))
 
 
@@ -244,12 +245,12 @@ _BLOCKS = """SELECT doc_id AS source_id, i - 1 AS ord, CASE WHEN i = 1 THEN 'hea
 
 
 def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of documents as sections, below one for the whole text."""
-    lines = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("source_id"), F.split("text", "\n").alias("l"))
-    ends = F.aggregate("l", F.expr("cast(array(0) as array<int>)"), lambda a, x: F.concat(a, F.array((F.element_at(a, -1) + F.length(x) + 1).cast("int"))))
-    rows = lines.withColumn("e", ends).select("source_id", F.posexplode("l").alias("ord", "line"), "e")
-    start = F.get("e", F.col("ord"))
-    return rows.select("source_id", "ord", F.when(F.col("ord") == 0, "head").otherwise(F.concat(F.lit("line"), (F.col("ord") + 1).cast("string"))).alias("title"), start.alias("start"), (start + F.length("line")).alias("end"), F.lit(1).alias("depth"))
+    """Lines of documents as sections."""
+    lines = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("source_id"), F.posexplode(F.split("text", "\n")).alias("ord", "line")).select("source_id", "ord", F.length("line").alias("n"))
+    before = Window.partitionBy("source_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.col("n") + 1).over(before), F.lit(0))
+    title = F.when(F.col("ord") == 0, "head").otherwise(F.concat(F.lit("line"), (F.col("ord") + 1).cast("string")))
+    return lines.select("source_id", "ord", title.alias("title"), start.alias("start"), (start + F.col("n")).alias("end"), F.lit(1).alias("depth"))
 
 
 @query("section_of_offset", f"WITH s AS ({_BLOCKS}) SELECT o.source_id, o.offset_ AS \"offset\", s.title AS section FROM (SELECT doc_id AS source_id, n_chars // 2 AS offset_ FROM documents) o LEFT JOIN s ON s.source_id = o.source_id AND s.start <= o.offset_ AND o.offset_ < s.start + s.n")

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
+from veritab.operators.order import numbered
+
 Getter = Callable[[str, "str | None"], tuple[list[dict], "str | None"]]
 
 
@@ -58,9 +60,10 @@ def search_source(getter: Getter) -> type[DataSource]:
 
 
 def saved_search(spark: SparkSession, path: str) -> DataFrame:
-    """Hits of a saved search: JSON lines, in their order in the file."""
-    rows = spark.read.text(path)
-    return rows.select(F.monotonically_increasing_id().alias("ord"), "value")
+    """Hits of a saved search: JSON lines, numbered from 0 in their order in the files."""
+    at = [F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i")]
+    rows = spark.read.text(path).select("value", *at)
+    return numbered(rows, [F.col("_f"), F.col("_b"), F.col("_i")], "_n").select((F.col("_n") - 1).alias("ord"), "value")
 
 
 def carry_forward(found: DataFrame, before: DataFrame) -> DataFrame:
