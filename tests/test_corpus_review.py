@@ -139,7 +139,7 @@ def test_selection_and_verdicts(spark):
 @pytest.mark.parametrize("anchors", [20_000, 0])
 def test_quotes_against_all_texts(spark, monkeypatch, anchors):
     """Also where anchors are joined, and for quotes without an inner word."""
-    monkeypatch.setattr(spans, "ANCHORS", anchors)
+    monkeypatch.setattr(spans, "FEW", anchors)
     texts = [("a", "the old cat sat on the mat"), ("b", "an older cat sat"), ("c", None), ("d", "")]
     quotes = [(1, "old cat sat"), (2, "cat"), (3, "ld cat sa"), (4, "cat sat"), (5, ""), (6, "no such thing here")]
     want = {(i, q, t.find(p)) for i, t in texts for q, p in quotes if t and p and p in t}

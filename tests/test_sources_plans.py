@@ -134,9 +134,9 @@ def test_output_tables(spark, tmp_path):
     rows = [("r", "s", "e", None, "active", 1.0, "a", "t", 1, True), ("q", "s", "e", None, "active", 0.1, "b", "t", 2, False), ("z", "", "e", None, "active", 1.0, "c", "t", 3, True)]
     first = {r["record_id"]: r["outcome"] for r in t.upsert(spark.createDataFrame(rows, shape)).collect()}
     assert first["s:r"] == "written" and first["s:q"] == "denied" and sorted(first.values()) == ["denied", "denied", "written"]
-    again = t.upsert(spark.createDataFrame([("r", "s", "e", None, "active", 1.0, "a", "t", 4, True), ("s:r", "s", "e", None, "active", 1.0, "x", "t", 5, True)], shape))
-    assert [r["outcome"] for r in again.orderBy("seq").collect()] == ["identical", "collision"]
-    assert t.records().count() == 1 and t.records().first()["payload"] == "a"
+    again = t.upsert(spark.createDataFrame([("r", "s", "e", None, "active", 1.0, "a", "t", 4, True), ("r", "s", "e", None, "active", 1.0, "x", "t", 5, True), ("s:r", "s", "e", None, "active", 1.0, "x", "t", 6, True)], shape))
+    assert [r["outcome"] for r in again.orderBy("seq").collect()] == ["identical", "collision", "written"]  # a local id that begins like its source is another record
+    assert {r["record_id"]: r["payload"] for r in t.records().collect()} == {"s:r": "a", "s:s:r": "x"}
     ruling = "record_id string, source_id string, verdict string, note string, adjudicator string, at string, seq long"
     refused = t.record_adjudications(spark.createDataFrame([("r", "s", "right", None, "k", "t", 1), ("r", "s", "wrong", None, "k", "t", 2), ("r", "s", "perhaps", None, "k", "t", 3)], ruling))
     assert refused.count() == 1 and t.adjudications().first()["verdict"] == "wrong"

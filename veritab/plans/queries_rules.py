@@ -9,7 +9,7 @@ from pyspark.sql.window import WindowSpec
 from veritab.functions import grounding, numbers
 from veritab.functions import text as tx
 from veritab.operators import agreement as ag
-from veritab.operators import gate, mapping, review, uncertainty
+from veritab.operators import gate, graph, mapping, review, uncertainty
 from veritab.plans.inputs import table
 from veritab.plans.registry import query
 from veritab.sources import pages, sidecar
@@ -313,7 +313,7 @@ def page_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = last.select("source_id", F.explode(F.sequence(F.lit(1), F.col("last") + 1)).alias("page"))
     heads = every.select("source_id", "page", F.lit(1).alias("line_no"), F.lit("Journal of surveys").alias("text"))
     feet = every.select("source_id", "page", F.lit(99).alias("line_no"), (F.col("page") + 40).cast("string").alias("text"))
-    whole = lines.unionByName(title).unionByName(refs).unionByName(heads).unionByName(feet)
+    whole = graph.checkpointed(lines.unionByName(title).unionByName(refs).unionByName(heads).unionByName(feet))  # read many times below
     made = pages.assemble(pages.clean_lines(whole)).join(last, "source_id")
     return made.select("source_id", (F.col("last") + 1).cast("long").alias("n_pages"), "full_text", F.get("sections", F.lit(0))["title"].alias("first_title"), F.get("sections", F.lit(0))["end"].cast("long").alias("section_end"))
 
