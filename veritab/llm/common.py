@@ -79,6 +79,11 @@ def raw_texts(batch: pa.RecordBatch, column: int) -> list[bytes | None]:
     return batch.column(column).cast(pa.large_binary()).to_pylist()
 
 
+def texts_of(batch: pa.RecordBatch, column: int) -> list[str | None]:
+    """A string column as Python texts; bytes that aren't UTF-8 become U+FFFD."""
+    return [None if raw is None else raw.decode("utf-8", "replace") for raw in raw_texts(batch, column)]
+
+
 def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """`docs` without the rows whose doc_id is in `ids` (one column, distinct, checkpointed).
 
@@ -87,9 +92,11 @@ def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """
     name = fresh(docs, "gone")
     gone = ids.toDF(name)
+    ident = docs["doc_id"].cast("long")
     if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"].cast("long") == gone[name], "left_anti")
+        return docs.join(F.broadcast(gone), ident == gone[name], "left_anti")
+    known = docs.where(ident.isNotNull())  # null ids would all go to one task with their texts
+    return docs.where(ident.isNull()).unionByName(known.join(gone, known["doc_id"].cast("long") == gone[name], "left_anti"))
 
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = TEXT_ROWS) -> Iterator[pa.RecordBatch]:

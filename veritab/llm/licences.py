@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import cut, prepare, sliced
+from veritab.llm.common import cut, prepare, sliced, texts_of
 from veritab.llm.words import COMMON_WORDS
 
 #: Short notices and headers as they are found in files; several wordings of one licence. Only words and their counts matter.
@@ -274,7 +274,7 @@ def own_licences(files: DataFrame, templates: dict[str, tuple[str, ...]] | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
         for batch in sliced(batches):
-            found = [own.scan(t, cosine) for t in batch.column(2).to_pylist()]
+            found = [own.scan(t, cosine) for t in texts_of(batch, 2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([n if c >= cosine else None for c, n in found], pa.string()), pa.array([round(c, 6) for c, _ in found], pa.float64())], ["file_id", "path", "own_licence", "cosine"]
             )

@@ -65,7 +65,7 @@ def _cut_pieces(path: str, room: int, end_id: int):
             ids, texts, held = [], [], 0
             for doc_id, raw in zip(batch.column(0).to_pylist(), raw_texts(batch, 1)):
                 ids.append(doc_id)
-                texts.append((raw or b"").decode("utf-8"))
+                texts.append((raw or b"").decode("utf-8", "replace"))
                 held += len(texts[-1])
                 if held >= CHUNK:
                     yield flush(ids, texts, part, ranks)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritab.llm.common import block_units, cut, doc_texts, prepare, sliced, units_of
+from veritab.llm.common import block_units, cut, doc_texts, prepare, sliced, texts_of, units_of
 from veritab.llm.hashing import _PLACE, mix, word_hashes
 from veritab.llm.words import COMMON_WORDS
 
@@ -140,7 +140,7 @@ def _compare(chain: int):
         held = None  # the row that waits for its next one: (bucket, doc_id, text, signatures)
         for batch in sliced(batches):
             rows = []
-            for bucket, ahead, doc_id, text in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4))):
+            for bucket, ahead, doc_id, text in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3)), texts_of(batch, 4)):
                 if held is not None and held[0] != bucket:
                     held = None
                 if held is None and ahead:
@@ -165,7 +165,7 @@ def fingerprints(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            sets = [signatures(t, chain) for t in batch.column(1).to_pylist()]
+            sets = [signatures(t, chain) for t in texts_of(batch, 1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([fingerprint(s) for s in sets]), pa.array([len(s) for s in sets], pa.int32())], ["doc_id", "fingerprint", "n_signatures"])
 
     return doc_texts(docs).mapInArrow(run, "doc_id long, fingerprint string, n_signatures int")

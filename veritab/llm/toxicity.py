@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import cut, doc_texts, prepare, sliced, without_ids
+from veritab.llm.common import cut, doc_texts, prepare, sliced, texts_of, without_ids
 from veritab.llm.labelled import sample
 
 #: Labelled rows that are fitted on at most.
@@ -109,7 +109,7 @@ NOTHING = Severity(np.empty(0, np.int64), np.empty(0), np.full(GRADES, 40.0))
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     docs = np.zeros((2, SPACE), dtype=np.int64)
     for batch in sliced(batches):
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for label, text in zip(batch.column(0).to_pylist(), texts_of(batch, 1)):
             own = set().union(*map(_word_features, set(_WORD.findall((text or "").lower()))))
             docs[int(label > 0), np.fromiter(own, np.int64, len(own))] += 1
     at = np.flatnonzero(docs.any(axis=0))
@@ -124,7 +124,7 @@ def _kept_counts(numbers: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = KeptWords(keep)
         for batch in sliced(batches):
-            rows = [sorted(words.counts(t).items()) for t in batch.column(1).to_pylist()]
+            rows = [sorted(words.counts(t).items()) for t in texts_of(batch, 1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([[f for f, _ in r] for r in rows], pa.list_(pa.int64())), pa.array([[n for _, n in r] for r in rows], pa.list_(pa.int64()))], ["label", "features", "counts"]
             )
@@ -217,7 +217,7 @@ def severities(docs: DataFrame, model: Severity) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
         for batch in sliced(batches, 8192):
-            p = own.at_least(own.score(batch.column(1).to_pylist()))
+            p = own.at_least(own.score(texts_of(batch, 1)))
             e = p.sum(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(e), pa.array(np.rint(e).astype(np.int32)), pa.array(p[:, 0]), pa.array((p[:, 0] >= 0.5).astype(np.int32))], ["doc_id", "expected_severity", "severity", "p_toxic", "toxic"]
