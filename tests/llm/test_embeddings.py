@@ -72,3 +72,11 @@ def test_edges(spark):
 def test_tables_grow_with_the_input():
     small, large = embeddings.tables_for(10_000, 0.95), embeddings.tables_for(10_000_000, 0.95)
     assert large[0] > small[0] and large[1] > small[1]
+
+
+def test_doubles_as_they_are(spark):
+    """A column of doubles is compared in its own precision."""
+    a = [1.0, 0.0, 1e-9]
+    rows = [(1, a), (2, [1.0, 1e-12, 1e-9]), (3, [0.0, 1.0, 0.0])]
+    out = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_vectors(spark.createDataFrame(rows, "vec_id int, embedding array<double>")).collect()}
+    assert out == {1: (1, 1), 2: (1, 1), 3: (0, 3)}

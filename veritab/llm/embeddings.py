@@ -65,12 +65,21 @@ def _clean(vectors: list) -> list[np.ndarray | None]:
     return out
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches):
-        clean = _clean(batch.column(1).to_pylist())
-        raw = [None if x is None else x.tobytes() for x in clean]
-        keys = [None if r is None else xxhash.xxh3_128_digest(r) for r in raw]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(raw, pa.binary())], ["vec_id", "key", "vector"])
+def _read(kind: str):
+    """(vec_id, key, vector): vectors travel as they came, single floats as such, and are widened where they are used."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            clean = _clean(batch.column(1).to_pylist())
+            raw = [None if x is None else x.astype(kind).tobytes() for x in clean]
+            keys = [None if r is None else xxhash.xxh3_128_digest(r) for r in raw]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(raw, pa.binary())], ["vec_id", "key", "vector"])
+
+    return run
+
+
+def _wide(raw: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(raw, kind).astype(np.float64)
 
 
 def _buckets(x: np.ndarray, planes: np.ndarray, bits: int, tables: int) -> np.ndarray:
@@ -78,7 +87,7 @@ def _buckets(x: np.ndarray, planes: np.ndarray, bits: int, tables: int) -> np.nd
     return ((len(x) * tables + np.arange(tables)) << 30) | (signs.reshape(tables, bits) @ (1 << np.arange(bits, dtype=np.int64)))
 
 
-def _sign(bits: int, tables: int):
+def _sign(bits: int, tables: int, kind: str):
     """(id, buckets, s1, s2): a bucket of each table, and the signs of WORDS more hyperplanes."""
     planes: dict[int, np.ndarray] = {}
 
@@ -86,7 +95,7 @@ def _sign(bits: int, tables: int):
         for batch in sliced(batches):
             words, buckets = [], []
             for raw in batch.column(1).to_pylist():
-                x = np.frombuffer(raw, np.float64)
+                x = _wide(raw, kind)
                 if len(x) not in planes:
                     planes[len(x)] = _hyperplanes(len(x), bits * tables + WORDS)
                 own = planes[len(x)]
@@ -120,12 +129,12 @@ def _partnered(apart: int):
     return run
 
 
-def _linked(tables: int, cosine: float):
+def _linked(tables: int, cosine: float, kind: str):
     """Counts and a forest of the links of each unit of rows (unit, bucket, id, side, copies, vector, buckets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in units_of(batches):
-            x = np.stack([np.frombuffer(v, np.float64) for v in rows.column("vector").to_pylist()])
+            x = np.stack([_wide(v, kind) for v in rows.column("vector").to_pylist()])
             x = x / np.abs(x).max(axis=1, keepdims=True)
             x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
             ids, copies, side = (rows.column(c).to_numpy() for c in ("id", "copies", "side"))
@@ -196,20 +205,21 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, miss: float = MISS) -
     gives no rows.
     """
     prepare(vectors.sparkSession)
-    made = cut(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(_read, "vec_id long, key binary, vector binary"))
+    kind = "<f4" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "<f8"
+    made = cut(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(_read(kind), "vec_id long, key binary, vector binary"))
     usable = made.where("key is not null and vec_id is not null")
     classes = cut(usable.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vector").alias("vector")).select("rep", "copies", "vector", "key"))
     bits, tables = tables_for(classes.count(), cosine, miss)
     apart = most_apart(WORDS, cosine)
     body = classes.withColumn("id", F.xxhash64("key"))
 
-    signed = body.select("id", "vector").mapInArrow(_sign(bits, tables), "id long, buckets array<long>, s1 long, s2 long")
+    signed = body.select("id", "vector").mapInArrow(_sign(bits, tables, kind), "id long, buckets array<long>, s1 long, s2 long")
     signed = cut(signed)
     rows = signed.select("id", F.explode("buckets").alias("bucket"), "s1", "s2")
     units = block_units(rows, ["bucket"], "id", BLOCK).select("unit", "bucket", "id", "side", "s1", "s2")
     partnered = cut(units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_partnered(apart), "unit long, bucket long, id long, side long"))
     full = partnered.join(body.select("id", "copies", "vector"), "id").join(signed.select("id", "buckets"), "id").select("unit", "bucket", "id", "side", "copies", "vector", "buckets")
-    found = cut(full.repartition("unit").sortWithinPartitions("unit").mapInArrow(_linked(tables, cosine), "u long, v long, n long"))
+    found = cut(full.repartition("unit").sortWithinPartitions("unit").mapInArrow(_linked(tables, cosine, kind), "u long, v long, n long"))
 
     reps = body.select("id", "rep")
     links = found.where("v is not null").select("u", "v")
