@@ -34,10 +34,10 @@ def prepare(spark: SparkSession) -> None:
     """Set a checkpoint folder where the session has none, and see that workers have the package.
 
     A cluster names its shared folder in spark.checkpoint.dir. Only a local
-    session may fall back to a temporary folder of this machine. No setting of
-    the session is changed: Spark bounds the bytes of an Arrow batch, workers
-    take their rows from it in slices.
+    session may fall back to a temporary folder of this machine. The session's
+    Arrow batches are set to TEXT_ROWS rows, as whole texts travel in them.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS)
     ship(spark)
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
