@@ -160,39 +160,61 @@ ASSEMBLED = "source_id string, full_text string, sections array<struct<title:str
 
 
 def _assemble(lines: pd.DataFrame) -> pd.DataFrame:
-    """Paragraphs of one document: hyphens at line ends join words, headings and blank lines end paragraphs, and page ranges are kept."""
+    """Paragraphs of one document: hyphens at line ends join words, headings and blank lines end paragraphs, and page ranges are kept.
+
+    An open paragraph is a list of its pieces, so that a long one costs no more
+    a line than a short one.
+    """
     parts: list[str] = []
-    at, last, open_ = 0, None, ""
+    at, last = 0, None
+    open_: list[str] = []
+    length = 0  # of the open paragraph
     sections: list[dict] = []
     pages: dict[int, list[int]] = {}
 
     def close() -> None:
-        nonlocal at, open_
-        if open_:
-            parts.append(open_ + "\n\n")
-            at += len(open_) + 2
-            open_ = ""
-
-    for page, own in lines.sort_values(["page", "line_no"]).groupby("page", sort=True):
-        start = at + len(open_)
-        for text in collapse_repeats([t.strip() for t in own["text"].fillna("")]):
+        nonlocal at, length
+        if length:
+            parts.extend((*open_, "\n\n"))
+            at += length + 2
+        open_.clear()
+        length = 0
+
+    source = lines["source_id"].iloc[0]
+    lines = lines.dropna(subset=["page"]).sort_values(["page", "line_no"])
+    numbers, texts = lines["page"].to_numpy(), lines["text"].fillna("").tolist()
+    starts = [k for k in range(len(numbers)) if not k or numbers[k] != numbers[k - 1]]
+    for begin, end in zip(starts, [*starts[1:], len(numbers)]):
+        start = at + length
+        for text in collapse_repeats([t.strip() for t in texts[begin:end]]):
             if not text:
                 close()
             elif found := heading(text, last):
                 close()
                 sections.append({"title": found[0], "start": at, "end": None, "depth": found[2]})
                 last = found[1] or last
-                open_ = text
+                open_.append(text)
+                length = len(text)
                 close()
-            elif open_.endswith("-") and text[:1].islower():
-                open_ = open_[:-1] + text
             else:
-                open_ = f"{open_} {text}" if open_ else text
-        pages[int(page)] = [start, at + len(open_)]
+                if length:
+                    if open_[-1].endswith("-") and text[:1].islower():
+                        open_[-1] = open_[-1][:-1]
+                        length -= 1
+                    else:
+                        open_.append(" ")
+                        length += 1
+                open_.append(text)
+                length += len(text)
+        pages[int(numbers[begin])] = [start, at + length]
     close()
-    for k, s in enumerate(sections):
-        s["end"] = next((t["start"] for t in sections[k + 1 :] if t["depth"] <= s["depth"]), at)
-    return pd.DataFrame([{"source_id": lines["source_id"].iloc[0], "full_text": "".join(parts), "sections": sections, "pages": [{"page_no": p, "start": a, "end": b} for p, (a, b) in pages.items()]}])
+    nearest: list[dict] = []  # sections after this one, each nearer than those above it and deeper than what it closes
+    for s in reversed(sections):
+        while nearest and nearest[-1]["depth"] > s["depth"]:
+            nearest.pop()
+        s["end"] = nearest[-1]["start"] if nearest else at
+        nearest.append(s)
+    return pd.DataFrame([{"source_id": source, "full_text": "".join(parts), "sections": sections, "pages": [{"page_no": p, "start": a, "end": b} for p, (a, b) in pages.items()]}])
 
 
 def assemble(lines: DataFrame) -> DataFrame:
