@@ -195,7 +195,9 @@ def similar(docs: DataFrame, least: float = 0.8, chain: int = CHAIN) -> tuple[Da
     and null ids have no links. Sets are indexed by their rarest signatures (as
     many as a like set can't all lack) within partitions of set length, and a
     set looks into its own and the next partition only. Hot signatures are cut
-    into blocks. Candidates that sizes can't rule out are intersected in full.
+    into blocks. Two sets that meet first where too little of either is left
+    aren't candidates; those that neither this nor their sizes rule out are
+    intersected in full. All signatures move once, to be counted where they meet.
     """
     made = cut(fingerprints(docs, chain).where("doc_id is not null"))
     classes = cut(made.groupBy("fingerprint", "n_signatures").agg(F.min("doc_id").alias("class_id")))
@@ -208,25 +210,25 @@ def similar(docs: DataFrame, least: float = 0.8, chain: int = CHAIN) -> tuple[Da
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), n)), pa.array(np.repeat(n, n)), pa.array(np.concatenate(sets).astype(np.int64))], ["id", "n", "sign"])
 
     signs = classes.where("n_signatures > 0").select("class_id", "fingerprint").mapInArrow(explode, "id long, n long, sign long")
-    often = signs.groupBy("sign").agg(F.count("*").alias("often"))
     order = Window.partitionBy("id").orderBy("often", "sign")
-    ranked = signs.join(often.where("often > 1"), "sign").withColumn("rank", F.row_number().over(order) + F.col("n") - F.count("*").over(Window.partitionBy("id")))
+    ranked = signs.withColumn("often", F.count("*").over(Window.partitionBy("sign"))).where("often > 1").withColumn("rank", F.row_number().over(order) + F.col("n") - F.count("*").over(Window.partitionBy("id")))
     prefix = ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.lit(least) * F.col("n")) + 1)
     part = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(least))).cast("int")
-    own = prefix.select("id", "n", "sign", part.alias("part"))
-    spread = own.select("id", "n", "sign", F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"))
+    own = prefix.select("id", "n", "sign", (F.col("n") - F.col("rank")).alias("left"), part.alias("part"))
+    spread = own.select("id", "n", "sign", "left", F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in units_of(batches):
-            ids, n, side = (rows.column(k).to_numpy() for k in ("id", "n", "side"))
+            ids, n, left, side = (rows.column(k).to_numpy() for k in ("id", "n", "left", "side"))
             good = np.triu(np.minimum.outer(n, n) >= least * np.maximum.outer(n, n), 1)
+            good &= 1 + np.minimum.outer(left, left) >= least / (1 + least) * np.add.outer(n, n) - 1e-9
             if (side != side[0]).any():
                 good &= side[:, None] != side[None, :]
             i, j = np.nonzero(good)
             if len(i):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], ["a", "b"])
 
-    units = block_units(cut(spread), ["sign", "part"], "id", BLOCK).select("unit", "id", "n", "side")
+    units = block_units(cut(spread), ["sign", "part"], "id", BLOCK).select("unit", "id", "n", "left", "side")
     found = cut(units.repartition("unit").sortWithinPartitions("unit").mapInArrow(pairs, "a long, b long").where("a <> b").distinct())
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
